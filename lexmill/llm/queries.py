@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexmill.llm import licenses, media, mixing, packing, quality, simhash, token_orc, toxicity, url_filter
+from lexmill.llm import licenses, line_dedup, media, mixing, packing, quality, simhash, token_orc, toxicity, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.query,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_quality_rules": quality.query,
     "op8_token_orc": token_orc.query,
     "op9_licenses": licenses.query,
+    "op10_line_dedup": line_dedup.query,
 }
 
 ORACLES = {

@@ -30,7 +30,8 @@ from lexmill.llm.common import table
 
 SAMPLE = 1500  # labelled documents of each class
 LANDMARKS = 48  # of each kind: witnesses, others
-NEGATIVES = 6000  # units of clean documents that train the machine
+NEGATIVES = 4000  # units of clean documents that train the machine at first
+MINING = 4  # rounds in which the hardest clean units join them
 DECAY = 0.6
 SPAN = 7
 WIDTH = 32  # characters; longer units are scored in overlapping parts
@@ -87,10 +88,9 @@ def kernel(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return (dense[: len(left)] @ dense[len(left) :].T).astype(np.float64)
 
 
-def _svm(x: np.ndarray, y: np.ndarray, steps: int = 1500, reg: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Linear machine by full subgradient steps (hinge loss, classes weighted alike), averaged over the last half."""
+def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 2500, reg: float = 1e-5) -> tuple[np.ndarray, float]:
+    """Linear machine by full subgradient steps (hinge loss, each row at its cost), averaged over the last half."""
     x1 = np.hstack([x, np.ones((len(x), 1))])
-    cost = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
     w, mean = np.zeros(x1.shape[1]), np.zeros(x1.shape[1])
     for t in range(1, steps + 1):
         hurt = y * (x1 @ w) < 1
@@ -102,18 +102,24 @@ def _svm(x: np.ndarray, y: np.ndarray, steps: int = 1500, reg: float = 1e-4) ->
 
 
 def _logistic(m: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and offset by Newton steps with a little shrinkage."""
-    a, b = 1.0, 0.0
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * m + b, -30, 30)))
-        g = np.array([(weight * (p - y) * m).sum() + 1e-2 * a, (weight * (p - y)).sum() + 1e-3 * b])
+    """Slope and offset by Newton steps, each halved until the loss falls, with a little shrinkage."""
+
+    def loss(v: np.ndarray) -> float:
+        z = v[0] * m + v[1]
+        return float((weight * (np.logaddexp(0, z) - y * z)).sum() + 5e-3 * v[0] ** 2)
+
+    v = np.array([1.0, 0.0])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(v[0] * m + v[1], -30, 30)))
+        g = np.array([(weight * (p - y) * m).sum() + 1e-2 * v[0], (weight * (p - y)).sum()])
         h = weight * p * (1 - p)
-        hess = np.array([[(h * m * m).sum() + 1e-2, (h * m).sum()], [(h * m).sum(), h.sum() + 1e-3]])
-        step = np.linalg.solve(hess, g)
-        a, b = a - step[0], b - step[1]
+        step = np.linalg.solve(np.array([[(h * m * m).sum() + 1e-2, (h * m).sum()], [(h * m).sum(), h.sum() + 1e-6]]), g)
+        while loss(v - step) > loss(v) and np.abs(step).max() > 1e-9:
+            step /= 2
+        v = v - step
         if np.abs(step).max() < 1e-8:
             break
-    return float(max(a, 0.0)), float(b)
+    return float(max(v[0], 0.0)), float(v[1])
 
 
 class Model:
@@ -197,18 +203,26 @@ def train(toxic: list[str], clean: list[str], share: float = 0.5) -> Model:
     if not witnesses:
         return Model({}, FLOOR, constant=float(share))
     others = sorted(seen[1], key=lambda u: (zlib.crc32(u), u))
-    marks = witnesses + others[:LANDMARKS]
-    pos = [v for u in witnesses for v in _variants(u)]
-    neg = others[:NEGATIVES]
-    value, vector = np.linalg.eigh(kernel(marks, marks))
-    root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
-    w, offset = _svm(kernel(pos + neg, marks) @ root, np.array([1.0] * len(pos) + [-1.0] * len(neg)))
-    alpha, weights = root @ w, defaultdict(float)
-    for a, u in zip(alpha, marks, strict=True):
-        f = phi(u)
-        for c, x in f.items():
-            weights[c] += a * x / norm(f)
-    model = Model(dict(weights), offset)
+    spelt = [v for u in witnesses for v in _variants(u)[1:]]
+    neg, hard = others[:NEGATIVES], others[:LANDMARKS]
+    for _ in range(MINING):
+        # landmarks: the witnesses, and the clean units that the last machine found hardest
+        marks = witnesses + hard[: 4 * LANDMARKS]
+        value, vector = np.linalg.eigh(kernel(marks, marks))
+        root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-4))) @ vector.T
+        rows = kernel(witnesses + spelt + neg, marks) @ root
+        y = np.array([1.0] * (len(witnesses) + len(spelt)) + [-1.0] * len(neg))
+        cost = np.array([0.4 / len(witnesses)] * len(witnesses) + [0.1 / max(1, len(spelt))] * len(spelt) + [0.5 / len(neg)] * len(neg))
+        w, offset = _svm(rows, y, cost)
+        weights: dict[bytes, float] = defaultdict(float)
+        for a, u in zip(root @ w, marks, strict=True):
+            f = phi(u)
+            for c, x in f.items():
+                weights[c] += a * x / norm(f)
+        model = Model(dict(weights), offset)
+        ranked = sorted((-f, u) for f, u in zip(model.decide(others), others, strict=True) if f > FLOOR)
+        hard = [u for _, u in ranked[: NEGATIVES // 4]]
+        neg = neg + sorted(set(hard).difference(neg))
     m = model.decisions(tox + cln)
     y = np.array([1.0] * len(tox) + [0.0] * len(cln))
     model.slope, model.shift = _logistic(m, y, np.where(y > 0, share / len(tox), (1 - share) / len(cln)) * len(y))
