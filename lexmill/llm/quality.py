@@ -118,8 +118,13 @@ def judge(df: DataFrame, rules=RULES, text: str = "text", prefix: str = "q_") ->
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that pass, with the columns they came with."""
-    return judge(docs).where("q_kept").select(*docs.columns)
+    """Keeps the documents that pass, with the columns they came with.
+
+    A generator that gives a row or none does what a filter would; but Catalyst would push a filter below the
+    projections that judge() keeps apart, and compute their expressions again inside each other.
+    """
+    one = F.when(F.col("q_kept"), F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
+    return judge(docs).select(*docs.columns, F.explode(one).alias("q_one")).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
