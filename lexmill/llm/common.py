@@ -42,18 +42,28 @@ def _remove(spark: SparkSession, path: str) -> None:
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: With this setting a write's shuffle files go when it ends, not when the driver next collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back: computed once, lineage cut, survives lost executors."""
     spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    path, before = scratch_path(spark, label), spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def words(text: Column) -> Column:
     """array<string> of the words of a text; null and blank texts have none."""
-    bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(ASCII_SPACE))
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE_RUN))
+    even = F.coalesce(text, F.lit(""))
+    for c in ASCII_SPACE[1:]:
+        even = F.replace(even, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(even, " "), "")  # a pattern of one plain character is split without a regex
 
 
 def n_words(text: Column) -> Column:

@@ -1,6 +1,6 @@
 """Line dedup: an exact set-similarity join of lines, after which later matches go.
 
-A line's set is its distinct words with A-Z lower-cased. Two lines match if their sets' Jaccard similarity is at
+A line's set is its distinct words in lower case. Two lines match if their sets' Jaccard similarity is at
 least THRESHOLD. Tokens are ordered by rarity: by the document frequency of their bucket (2^18 buckets, counted
 over all documents), then by hash, which is one order for all lines, as prefix filters need. A line's prefix are its
 first n - ceil(t n) + 1 tokens; matching lines share one. Equal lines are one row before the join, and lines of
@@ -20,16 +20,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import ASCII_SPACE, SPACE_RUN, materialise, table, words
+from lexmill.llm.common import ASCII_SPACE, materialise, table, words
 
 THRESHOLD = 0.8
 BUCKETS = 1 << 18
 _NUM, _DEN = 4, 5  # THRESHOLD as a fraction: filters in whole numbers
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Tokens of a prefix beyond those of which matching lines must share one.
+MORE = 1
+#: Sets of fewer tokens match equal sets only.
+SHORT = 4
+#: Up to so many line hashes (16 MB) are broadcast to pick the lines that need verifying; more are joined by shuffle.
+BROADCAST_LINES = 1_000_000
 
 
 def _fold(text: Column) -> Column:
-    return F.translate(text, UPPER, LOWER)
+    return F.lower(text)
 
 
 def rarity(docs: DataFrame, text: str = "text") -> bytes:
@@ -44,7 +49,7 @@ def rarity(docs: DataFrame, text: str = "text") -> bytes:
 
 def tokens(line: Column, ranks: bytes) -> Column:
     """array<long>: the line's distinct words as rank and hash in one number, ascending from the rarest."""
-    hashes = F.transform(F.split(F.btrim(_fold(line), F.lit(ASCII_SPACE)), SPACE_RUN), lambda w: F.xxhash64(w))
+    hashes = F.transform(words(_fold(line)), lambda w: F.xxhash64(w))
     held = F.lit(bytearray(ranks))
     degree = lambda h: F.ascii(F.substring(held, F.pmod(h, F.lit(BUCKETS)).cast("int") + 1, F.lit(1)).cast("string"))
     place = lambda h: F.shiftleft(degree(h).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
@@ -58,25 +63,32 @@ def lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 
 def _prefix(n: Column) -> Column:
-    """n - ceil(t n) + 1."""
-    return n - F.ceil(n * _NUM / F.lit(_DEN)) + 1
+    """n - ceil(t n) + 1 tokens, and MORE: with e tokens more, matches share e + 1, which unlike lines seldom do."""
+    return F.least(n, n - F.ceil(n * _NUM / F.lit(_DEN)) + 1 + MORE)
 
 
 def matches(docs: DataFrame, first: DataFrame, ranks: bytes) -> DataFrame:
-    """a < b: verified pairs of different lines (lids) with similarity of at least THRESHOLD."""
-    # a set of under four tokens has one key; others have a key for each prefix token
-    rows = first.select("lid", "n", F.posexplode("keys").alias("at", "key"))
-    left = rows.select("key", F.col("lid").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"))
-    right = rows.select("key", F.col("lid").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"))
+    """a < b: verified pairs of different lines (row numbers in first) with similarity of at least THRESHOLD."""
+    rows = first.select("row", "n", F.posexplode("keys").alias("at", "key"))
+    left = rows.select("key", F.col("row").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"))
+    right = rows.select("key", F.col("row").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"))
     need = F.ceil((F.col("na") + F.col("nb")) * _NUM / F.lit(_NUM + _DEN))
     # the shared token and what follows it; tokens before it that both share count at most as many as the lesser place
     follow = F.least("ia", "ib") + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
     near = (F.col("a") < F.col("b")) & (F.col("na") * _DEN >= F.col("nb") * _NUM) & (F.col("nb") * _DEN >= F.col("na") * _NUM) & (follow >= need)
-    pairs = materialise(left.join(right, "key").where(near).groupBy("a", "b").agg(F.count("*").alias("_")).select("a", "b"), "line-pairs")
-    named = pairs.select(F.col("a").alias("lid")).unionByName(pairs.select(F.col("b").alias("lid"))).distinct()
-    texts = lines(docs).select("lid", "line").join(named, "lid", "left_semi").groupBy("lid").agg(F.first("line").alias("line"))
-    sets = materialise(texts.select("lid", tokens(F.col("line"), ranks).alias("toks")), "line-sets")
-    both = pairs.join(sets.withColumnsRenamed({"lid": "a", "toks": "ta"}), "a").join(sets.withColumnsRenamed({"lid": "b", "toks": "tb"}), "b")
+    met = left.join(right, "key").where(near).select("a", "b", (F.col("na") * 65536 + F.col("nb")).alias("sizes"), (F.col("ia") * 65536 + F.col("ib")).alias("at"))
+    met = met.groupBy("a", "b", "sizes").agg(F.count("*").alias("seen"), F.max("at").alias("at"))
+    met = met.withColumns({"na": F.floor(F.col("sizes") / 65536), "nb": F.col("sizes") % 65536, "ia": F.floor(F.col("at") / 65536), "ib": F.col("at") % 65536})
+    # shared tokens up to the last one seen have all been seen; the rest lie behind it, and behind the prefix that ends first
+    behind = F.least(F.greatest(F.col("na") - _prefix(F.col("na")), F.col("nb") - _prefix(F.col("nb"))), F.col("na") - 1 - F.col("ia"), F.col("nb") - 1 - F.col("ib"))
+    enough = (F.least("na", "nb") < SHORT) | (F.col("seen") + behind >= need)
+    pairs = materialise(met.where(enough).select("a", "b"), "line-pairs")
+    named = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct().join(first.select("row", "lid"), "row").select("row", "lid")
+    named = materialise(named, "line-named")
+    few = named.count() <= BROADCAST_LINES
+    texts = lines(docs).select("lid", "line").join(F.broadcast(named) if few else named, "lid").groupBy("row").agg(F.first("line").alias("line"))
+    sets = materialise(texts.select("row", tokens(F.col("line"), ranks).alias("toks")), "line-sets")
+    both = pairs.join(sets.withColumnsRenamed({"row": "a", "toks": "ta"}), "a").join(sets.withColumnsRenamed({"row": "b", "toks": "tb"}), "b")
     shared = F.size(F.array_intersect("ta", "tb"))
     return both.withColumn("shared", shared).where(F.col("shared") * _DEN >= (F.size("ta") + F.size("tb") - F.col("shared")) * _NUM).select("a", "b")
 
@@ -89,17 +101,19 @@ def judge_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     found = lines(own)
     toks = tokens(F.col("line"), ranks)
     n = F.size("toks")
-    keys = F.when(n < 4, F.array(F.xxhash64("toks"))).otherwise(F.slice("toks", F.lit(1), _prefix(n).cast("int")))
+    keys = F.when(n < SHORT, F.array(F.xxhash64("toks"))).otherwise(F.slice("toks", F.lit(1), _prefix(n).cast("int")))
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc"), F.col("line_no").alias("line"))
-    # lines that a text repeats are dropped on the map side by the partial aggregate
+    # lines that a task meets again are dropped before the shuffle by the partial aggregate
     first = found.select("lid", place.alias("place"), toks.alias("toks")).select("lid", "place", n.alias("n"), keys.alias("keys"))
-    first = materialise(first.groupBy("lid").agg(F.min("place").alias("place"), F.first("n").alias("n"), F.first("keys").alias("keys")), "line-first")
+    first = first.groupBy("lid").agg(F.min("place").alias("place"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    # written once, so the row numbers, which shuffles compress far better than hashes, hold from here on
+    first = materialise(first.withColumn("row", F.monotonically_increasing_id()), "line-first")
     pairs = materialise(matches(own, first, ranks), "line-matches")
-    spots = first.select("lid", "place")
-    sides = pairs.join(spots.withColumnsRenamed({"lid": "a", "place": "pa"}), "a").join(spots.withColumnsRenamed({"lid": "b", "place": "pb"}), "b")
-    ends = sides.select(F.col("a").alias("lid"), (F.col("pb") < F.col("pa")).alias("late")).unionByName(sides.select(F.col("b").alias("lid"), (F.col("pa") < F.col("pb")).alias("late")))
-    linked = ends.groupBy("lid").agg(F.count("*").alias("n_links"), F.max("late").alias("late"))
-    classes = materialise(spots.join(linked, "lid", "left").select("lid", "place", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("late", F.lit(False)).alias("late")), "line-classes")
+    spots = first.select("row", "place")
+    sides = pairs.join(spots.withColumnsRenamed({"row": "a", "place": "pa"}), "a").join(spots.withColumnsRenamed({"row": "b", "place": "pb"}), "b")
+    ends = sides.select(F.col("a").alias("row"), (F.col("pb") < F.col("pa")).alias("late")).unionByName(sides.select(F.col("b").alias("row"), (F.col("pa") < F.col("pb")).alias("late")))
+    linked = ends.groupBy("row").agg(F.count("*").alias("n_links"), F.max("late").alias("late"))
+    classes = materialise(first.select("row", "lid", "place").join(linked, "row", "left").select("lid", "place", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("late", F.lit(False)).alias("late")), "line-classes")
     out = found.select("doc_id", "line_no", "lid").join(classes, "lid")
     here = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc"), F.col("line_no").alias("line"))
     return out.select("doc_id", "line_no", F.col("place.doc").alias("first_doc"), F.col("place.line").alias("first_line"), "n_links", (F.col("late") | (here > F.col("place"))).alias("removed"))

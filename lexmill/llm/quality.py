@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import ASCII_SPACE, table, words
+from lexmill.llm.common import ASCII_SPACE, SPACE_RUN, table, words
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -36,12 +36,8 @@ RULES = (
 )
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
-
-
-def _count_chars(text: Column, chars: str) -> Column:
-    return (F.length(text) - F.length(_without(text, chars))).cast("long")
+def _count_chars(text: Column, pattern: str) -> Column:
+    return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
 
 
 def _covered(starts: Column) -> Column:
@@ -63,7 +59,7 @@ def measure(df: DataFrame, text: str = "text", prefix: str = "q_") -> DataFrame:
     w, lines = F.col(p("words")), F.col(p("lines"))
     out = out.withColumns({
         p("n_words"): F.size(w).cast("long"),
-        p("word_chars"): F.length(_without(t, ASCII_SPACE)).cast("long"),
+        p("word_chars"): F.length(F.regexp_replace(t, SPACE_RUN, "")).cast("long"),
         p("n_symbols"): _count_chars(t, SYMBOLS),
         p("n_lines"): F.size(lines).cast("long"),
         p("n_dup_lines"): (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
