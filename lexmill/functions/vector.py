@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,15 +22,22 @@ def cosine(a: Column, b: Column) -> Column:
 
 def unit(a: Column) -> Column:
     n = norm(a)
-    return F.when(n == 0, a.cast("array<double>")).otherwise(F.transform(a, lambda x: x.cast("double") / n))
+    # the norm is spread by array_repeat: inside a lambda it would be summed again for each element
+    return F.when(n == 0, a.cast("array<double>")).otherwise(F.zip_with(a, F.array_repeat(n, F.size(a)), lambda x, y: x.cast("double") / y))
 
 
 def non_zero(a: Column) -> Column:
     return F.exists(a, lambda x: x != 0)
 
 
-def embed(text: Column, dims: int = 64) -> Column:
-    """A deterministic stand-in for a text encoder: counts of words by hash, to unit length."""
-    slots = F.transform(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != ""), lambda w: F.pmod(F.crc32(w.cast("binary")), F.lit(dims)))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda k: F.size(F.filter(slots, lambda s: s == k)).cast("double"))
-    return unit(counts)
+def embed(df: DataFrame, text: str = "text", to: str = "embedding", dims: int = 64) -> DataFrame:
+    """A deterministic stand-in for a text encoder: counts of words by hash, to unit length.
+
+    Each step is a projection whose inputs are read twice, so that Catalyst doesn't put one inside another's lambda.
+    """
+    slots, counts = F.col(f"{to}_slots"), F.col(f"{to}_counts")
+    found = F.transform(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != ""), lambda w: F.pmod(F.crc32(w.cast("binary")), F.lit(dims)))
+    out = df.withColumn(f"{to}_slots", found)
+    spread = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda k: F.size(F.filter(slots, lambda s: s == k)).cast("double"))
+    out = out.withColumn(f"{to}_counts", F.when(F.size(slots) == 0, F.array_repeat(F.lit(0.0), dims)).otherwise(spread))
+    return out.withColumn(to, unit(counts)).drop(f"{to}_slots", f"{to}_counts")
