@@ -8,13 +8,13 @@ special tokens' strings or characters that normalisation could join goes whole t
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 
-import numpy as np
 from tokenizers import Tokenizer
 
-#: Entries of the table of pieces; it starts afresh when full.
-TABLE = 400_000
+#: Entries of the table of pieces (about 200 bytes each); it starts afresh when full.
+TABLE = 1_500_000
 #: ASCII controls, and the first UTF-8 bytes of rarer white space, that the pieces' cuts don't cover.
 _CONTROLS = b"\x1c\x1d\x1e\x1f"
 _OTHER_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -34,8 +34,8 @@ def _byte_letters() -> list[str]:
     return [out[b] for b in range(256)]
 
 
-def _pack(ids) -> bytes:
-    return np.asarray(ids, dtype="<u4").tobytes()
+def _pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class _Pieces(dict):
