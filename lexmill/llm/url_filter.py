@@ -42,7 +42,8 @@ def path_of(url: Column) -> Column:
 def listing(spark: SparkSession, rules=RULES, listed=LISTED) -> DataFrame:
     """entry, verdict, tier: rules are tier 1 and outrank the list's tier 0."""
     rows = [(e, v, 1) for e, v in rules] + [(e, "block", 0) for e in listed]
-    return spark.createDataFrame(rows, "entry string, verdict string, tier int")
+    each = [F.struct(F.lit(e).alias("entry"), F.lit(v).alias("verdict"), F.lit(t).alias("tier")) for e, v, t in rows]
+    return spark.range(1).select(F.inline(F.array(*each)))
 
 
 def _masks(key: Column) -> list[Column]:
