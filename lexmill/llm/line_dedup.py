@@ -5,8 +5,9 @@ least THRESHOLD. Tokens are ordered by rarity: by the document frequency of thei
 over all documents), then by hash, which is one order for all lines, as prefix filters need. A line's prefix are its
 first n - ceil(t n) + 1 tokens; matching lines share one. Equal lines are one row before the join, and lines of
 under four tokens match only equal sets, by a key of the whole set. The join applies the length filter
-and the positional filter (what can still follow the shared prefix token); pairs that pass are verified on the
-whole token sets, read again for the lines that occur in such pairs.
+and the positional filter (what can still follow the shared prefix token), and compares 64-bit parities of the sets, which
+bound their difference from below; a pair comes by the first of a run of shared tokens only. Pairs that pass are verified
+on the whole token sets, read again for the lines that occur in such pairs.
 
 A line goes if an equal line, or a matching one, stands earlier in (doc_id, line number) order. Tokens and lines are
 told apart by 64-bit hashes.
@@ -25,8 +26,8 @@ from lexmill.llm.common import ASCII_SPACE, materialise, table, words
 THRESHOLD = 0.8
 BUCKETS = 1 << 18
 _NUM, _DEN = 4, 5  # THRESHOLD as a fraction: filters in whole numbers
-#: Tokens of a prefix beyond those of which matching lines must share one.
-MORE = 1
+#: Words of the parities that pairs are compared by before verification; a power of two.
+WORDS = 4
 #: Sets of fewer tokens match equal sets only.
 SHORT = 4
 #: Up to so many line hashes (16 MB) are broadcast to pick the lines that need verifying; more are joined by shuffle.
@@ -63,34 +64,57 @@ def lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 
 def _prefix(n: Column) -> Column:
-    """n - ceil(t n) + 1 tokens, and MORE: with e tokens more, matches share e + 1, which unlike lines seldom do."""
-    return F.least(n, n - F.ceil(n * _NUM / F.lit(_DEN)) + 1 + MORE)
+    return F.least(n, n - F.ceil(n * _NUM / F.lit(_DEN)) + 1)
+
+
+def _bits(toks: Column) -> Column:
+    """The parity of the tokens that fall on each of 64 bits: two sets' parities differ in no more bits than the sets do in tokens."""
+    return F.aggregate(toks, F.lit(0).cast("long"), lambda s, t: s.bitwiseXOR(_bit(t)))
+
+
+def _bit(tok: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), tok.bitwiseAND(F.lit(63)).cast("int"))
+
+
+def _wide(toks: Column) -> Column:
+    """_bits in WORDS words: longer lines fill one."""
+    own = lambda t: F.shiftright(t, 6).bitwiseAND(F.lit(WORDS - 1))
+    word = lambda k: F.aggregate(toks, F.lit(0).cast("long"), lambda s, t: F.when(own(t) == k, s.bitwiseXOR(_bit(t))).otherwise(s))
+    return F.array(*map(word, range(WORDS)))
+
+
+def _apart(a: Column, b: Column) -> Column:
+    return sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(1, WORDS)), F.bit_count(F.get(a, F.lit(0)).bitwiseXOR(F.get(b, F.lit(0)))))
 
 
 def matches(docs: DataFrame, first: DataFrame, ranks: bytes) -> DataFrame:
     """a < b: verified pairs of different lines (row numbers in first) with similarity of at least THRESHOLD."""
-    rows = first.select("row", "n", F.posexplode("keys").alias("at", "key"))
-    left = rows.select("key", F.col("row").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"))
-    right = rows.select("key", F.col("row").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"))
-    need = F.ceil((F.col("na") + F.col("nb")) * _NUM / F.lit(_NUM + _DEN))
+    rows = first.select("row", "n", "bits", "keys", F.posexplode("keys").alias("at", "key"))
+    rows = rows.withColumn("before", F.when(F.col("at") > 0, F.get("keys", F.col("at") - 1)))
+    left = rows.select("key", *(F.col(c).alias(f"{c}_a") for c in ("row", "n", "at", "bits", "before")))
+    right = rows.select("key", *(F.col(c).alias(f"{c}_b") for c in ("row", "n", "at", "bits", "before")))
+    na, nb, ia, ib = (F.col(c) for c in ("n_a", "n_b", "at_a", "at_b"))
+    need = F.ceil((na + nb) * _NUM / F.lit(_NUM + _DEN))
     # the shared token and what follows it; tokens before it that both share count at most as many as the lesser place
-    follow = F.least("ia", "ib") + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
-    near = (F.col("a") < F.col("b")) & (F.col("na") * _DEN >= F.col("nb") * _NUM) & (F.col("nb") * _DEN >= F.col("na") * _NUM) & (follow >= need)
-    met = left.join(right, "key").where(near).select("a", "b", (F.col("na") * 65536 + F.col("nb")).alias("sizes"), (F.col("ia") * 65536 + F.col("ib")).alias("at"))
-    met = met.groupBy("a", "b", "sizes").agg(F.count("*").alias("seen"), F.max("at").alias("at"))
-    met = met.withColumns({"na": F.floor(F.col("sizes") / 65536), "nb": F.col("sizes") % 65536, "ia": F.floor(F.col("at") / 65536), "ib": F.col("at") % 65536})
-    # shared tokens up to the last one seen have all been seen; the rest lie behind it, and behind the prefix that ends first
-    behind = F.least(F.greatest(F.col("na") - _prefix(F.col("na")), F.col("nb") - _prefix(F.col("nb"))), F.col("na") - 1 - F.col("ia"), F.col("nb") - 1 - F.col("ib"))
-    enough = (F.least("na", "nb") < SHORT) | (F.col("seen") + behind >= need)
-    pairs = materialise(met.where(enough).select("a", "b"), "line-pairs")
+    follow = F.least(ia, ib) + F.least(na - ia, nb - ib)
+    near = (F.col("row_a") < F.col("row_b")) & (na * _DEN >= nb * _NUM) & (nb * _DEN >= na * _NUM)
+    near = near & ((F.least(na, nb) < SHORT) | (follow >= need) & (F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= na + nb - 2 * need))
+    # where the tokens before are shared too, the pair has come by them
+    near = near & ~F.coalesce(F.col("before_a") == F.col("before_b"), F.lit(False))
+    met = left.join(right, "key").where(near).select(F.col("row_a").alias("a"), F.col("row_b").alias("b")).distinct()
+    pairs = materialise(met, "line-pairs")
     named = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct().join(first.select("row", "lid"), "row").select("row", "lid")
     named = materialise(named, "line-named")
     few = named.count() <= BROADCAST_LINES
     texts = lines(docs).select("lid", "line").join(F.broadcast(named) if few else named, "lid").groupBy("row").agg(F.first("line").alias("line"))
-    sets = materialise(texts.select("row", tokens(F.col("line"), ranks).alias("toks")), "line-sets")
-    both = pairs.join(sets.withColumnsRenamed({"row": "a", "toks": "ta"}), "a").join(sets.withColumnsRenamed({"row": "b", "toks": "tb"}), "b")
-    shared = F.size(F.array_intersect("ta", "tb"))
-    return both.withColumn("shared", shared).where(F.col("shared") * _DEN >= (F.size("ta") + F.size("tb") - F.col("shared")) * _NUM).select("a", "b")
+    sets = texts.select("row", tokens(F.col("line"), ranks).alias("toks"))
+    sets = materialise(sets.select("row", "toks", F.size("toks").alias("n"), _wide(F.col("toks")).alias("wide")), "line-sets")
+    side = lambda x, *cols: sets.select(F.col("row").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in cols))
+    close = pairs.join(side("a", "n", "wide"), "a").join(side("b", "n", "wide"), "b")
+    close = close.where(_apart(F.col("wide_a"), F.col("wide_b")) <= F.col("n_a") + F.col("n_b") - 2 * F.ceil((F.col("n_a") + F.col("n_b")) * _NUM / F.lit(_NUM + _DEN)))
+    both = materialise(close.select("a", "b"), "line-close").join(side("a", "toks"), "a").join(side("b", "toks"), "b")
+    shared = F.size(F.array_intersect("toks_a", "toks_b"))
+    return both.withColumn("shared", shared).where(F.col("shared") * _DEN >= (F.size("toks_a") + F.size("toks_b") - F.col("shared")) * _NUM).select("a", "b")
 
 
 def judge_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -104,8 +128,8 @@ def judge_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     keys = F.when(n < SHORT, F.array(F.xxhash64("toks"))).otherwise(F.slice("toks", F.lit(1), _prefix(n).cast("int")))
     place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc"), F.col("line_no").alias("line"))
     # lines that a task meets again are dropped before the shuffle by the partial aggregate
-    first = found.select("lid", place.alias("place"), toks.alias("toks")).select("lid", "place", n.alias("n"), keys.alias("keys"))
-    first = first.groupBy("lid").agg(F.min("place").alias("place"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    first = found.select("lid", place.alias("place"), toks.alias("toks")).select("lid", "place", n.alias("n"), _bits(F.col("toks")).alias("bits"), keys.alias("keys"))
+    first = first.groupBy("lid").agg(F.min("place").alias("place"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
     # written once, so the row numbers, which shuffles compress far better than hashes, hold from here on
     first = materialise(first.withColumn("row", F.monotonically_increasing_id()), "line-first")
     pairs = materialise(matches(own, first, ranks), "line-matches")
