@@ -35,6 +35,7 @@ MINING = 4  # rounds in which the hardest clean units join them
 DECAY = 0.6
 SPAN = 7
 WIDTH = 32  # characters; longer units are scored in overlapping parts
+BLOCK = 500  # units whose features are dense at once
 FLOOR = -0.9  # the least decision value that is told apart
 TABLE = 400_000  # entries of the table of scored units
 HOLD = 5  # of which remainder 0 is held out
@@ -76,16 +77,24 @@ def norm(f: dict[bytes, float]) -> float:
 def kernel(left: list[bytes], right: list[bytes]) -> np.ndarray:
     """Normalised kernel matrix; units of fewer than three characters are orthogonal to all."""
     codes: dict[bytes, int] = {}
-    feats = [phi(u) for u in (*left, *right)]
-    for f in feats:
-        for c in f:
+    for u in right:
+        for c in phi(u):
             codes.setdefault(c, len(codes))
-    dense = np.zeros((len(feats), max(1, len(codes))), dtype=np.float32)
-    for k, f in enumerate(feats):
-        if n := norm(f):
-            for c, x in f.items():
-                dense[k, codes[c]] = x / n
-    return (dense[: len(left)] @ dense[len(left) :].T).astype(np.float64)
+
+    def dense(some: list[bytes]) -> np.ndarray:
+        """Over the codes of the right side only: others meet no weight there."""
+        out = np.zeros((len(some), max(1, len(codes))), dtype=np.float32)
+        for k, u in enumerate(some):
+            f = phi(u)
+            if n := norm(f):
+                for c, x in f.items():
+                    if c in codes:
+                        out[k, codes[c]] = x / n
+        return out
+
+    across = dense(right).T
+    blocks = [dense(left[at : at + BLOCK]) @ across for at in range(0, len(left), BLOCK)]
+    return np.vstack(blocks or [np.zeros((0, len(right)))]).astype(np.float64)
 
 
 def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 2500, reg: float = 1e-5) -> tuple[np.ndarray, float]:
