@@ -13,7 +13,8 @@ A line goes if an equal line, or a matching one, stands earlier in (doc_id, line
 told apart by 64-bit hashes.
 
 Defined results: lines without words stay, and match nothing; a null text has no lines; rows that share a
-doc_id are ordered as lines of one document; null ids come last; rows repeated whole lose their repeated lines.
+doc_id are ordered as lines of one document, different lines at one place by their hashes; null ids come last;
+rows repeated whole lose their repeated lines.
 """
 
 from __future__ import annotations
@@ -87,8 +88,10 @@ def _apart(a: Column, b: Column) -> Column:
     return sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(1, WORDS)), F.bit_count(F.get(a, F.lit(0)).bitwiseXOR(F.get(b, F.lit(0)))))
 
 
-def matches(docs: DataFrame, first: DataFrame, ranks: bytes) -> DataFrame:
-    """a < b: verified pairs of different lines (row numbers in first) with similarity of at least THRESHOLD."""
+def matches(docs: DataFrame, first: DataFrame, ranks: bytes, every: bool = True) -> DataFrame:
+    """a < b: verified pairs of different lines (row numbers in first, in order of place) with similarity of at least
+    THRESHOLD. With every, all of them; else for each later line b at least one, if it has any: its first candidate is
+    verified alone, the others only where that fails, so a group of near copies costs what its lines do, not its pairs."""
     rows = first.select("row", "n", "bits", "keys", F.posexplode("keys").alias("at", "key"))
     rows = rows.withColumn("before", F.when(F.col("at") > 0, F.get("keys", F.col("at") - 1)))
     left = rows.select("key", *(F.col(c).alias(f"{c}_a") for c in ("row", "n", "at", "bits", "before")))
@@ -110,16 +113,23 @@ def matches(docs: DataFrame, first: DataFrame, ranks: bytes) -> DataFrame:
     sets = texts.select("row", tokens(F.col("line"), ranks).alias("toks"))
     sets = materialise(sets.select("row", "toks", F.size("toks").alias("n"), _wide(F.col("toks")).alias("wide")), "line-sets")
     side = lambda x, *cols: sets.select(F.col("row").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in cols))
-    close = pairs.join(side("a", "n", "wide"), "a").join(side("b", "n", "wide"), "b")
-    close = close.where(_apart(F.col("wide_a"), F.col("wide_b")) <= F.col("n_a") + F.col("n_b") - 2 * F.ceil((F.col("n_a") + F.col("n_b")) * _NUM / F.lit(_NUM + _DEN)))
-    both = materialise(close.select("a", "b"), "line-close").join(side("a", "toks"), "a").join(side("b", "toks"), "b")
-    shared = F.size(F.array_intersect("toks_a", "toks_b"))
-    return both.withColumn("shared", shared).where(F.col("shared") * _DEN >= (F.size("toks_a") + F.size("toks_b") - F.col("shared")) * _NUM).select("a", "b")
 
+    def verify(some: DataFrame) -> DataFrame:
+        close = some.join(side("a", "n", "wide"), "a").join(side("b", "n", "wide"), "b")
+        close = close.where(_apart(F.col("wide_a"), F.col("wide_b")) <= F.col("n_a") + F.col("n_b") - 2 * F.ceil((F.col("n_a") + F.col("n_b")) * _NUM / F.lit(_NUM + _DEN)))
+        both = materialise(close.select("a", "b"), "line-close").join(side("a", "toks"), "a").join(side("b", "toks"), "b")
+        shared = F.size(F.array_intersect("toks_a", "toks_b"))
+        return both.withColumn("shared", shared).where(F.col("shared") * _DEN >= (F.size("toks_a") + F.size("toks_b") - F.col("shared")) * _NUM).select("a", "b")
 
-def judge_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    if every:
+        return verify(pairs)
+    proven = materialise(verify(pairs.groupBy("b").agg(F.min("a").alias("a"))), "line-proven")
+    return proven.unionByName(verify(pairs.join(proven.select("b"), "b", "left_anti")))
+
+
+def judge_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", count: bool = True) -> DataFrame:
     """A row for each line with a word: doc_id, line_no, first_doc and first_line (the earliest equal line, which
-    names the line's class), n_links (classes that match it) and removed."""
+    names the line's class), n_links (classes that match it; null without count) and removed."""
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     ranks = rarity(own)
     found = lines(own)
@@ -130,14 +140,14 @@ def judge_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     # lines that a task meets again are dropped before the shuffle by the partial aggregate
     first = found.select("lid", place.alias("place"), toks.alias("toks")).select("lid", "place", n.alias("n"), _bits(F.col("toks")).alias("bits"), keys.alias("keys"))
     first = first.groupBy("lid").agg(F.min("place").alias("place"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
-    # written once, so the row numbers, which shuffles compress far better than hashes, hold from here on
-    first = materialise(first.withColumn("row", F.monotonically_increasing_id()), "line-first")
-    pairs = materialise(matches(own, first, ranks), "line-matches")
-    spots = first.select("row", "place")
-    sides = pairs.join(spots.withColumnsRenamed({"row": "a", "place": "pa"}), "a").join(spots.withColumnsRenamed({"row": "b", "place": "pb"}), "b")
-    ends = sides.select(F.col("a").alias("row"), (F.col("pb") < F.col("pa")).alias("late")).unionByName(sides.select(F.col("b").alias("row"), (F.col("pa") < F.col("pb")).alias("late")))
+    # in order of place, so of two rows the lesser number is the earlier line; written once, so the numbers hold from here on
+    first = materialise(first.sort("place", "lid").withColumn("row", F.monotonically_increasing_id()), "line-first")
+    pairs = materialise(matches(own, first, ranks, count), "line-matches")
+    ends = pairs.select(F.col("b").alias("row"), F.lit(True).alias("late"))
+    if count:
+        ends = ends.unionByName(pairs.select(F.col("a").alias("row"), F.lit(False).alias("late")))
     linked = ends.groupBy("row").agg(F.count("*").alias("n_links"), F.max("late").alias("late"))
-    classes = materialise(first.select("row", "lid", "place").join(linked, "row", "left").select("lid", "place", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("late", F.lit(False)).alias("late")), "line-classes")
+    classes = materialise(first.select("row", "lid", "place").join(linked, "row", "left").select("lid", "place", (F.coalesce("n_links", F.lit(0)) if count else F.lit(None).cast("long")).alias("n_links"), F.coalesce("late", F.lit(False)).alias("late")), "line-classes")
     out = found.select("doc_id", "line_no", "lid").join(classes, "lid")
     here = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc"), F.col("line_no").alias("line"))
     return out.select("doc_id", "line_no", F.col("place.doc").alias("first_doc"), F.col("place.line").alias("first_line"), "n_links", (F.col("late") | (here > F.col("place"))).alias("removed"))
@@ -145,7 +155,7 @@ def judge_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with removed lines cut from their texts; documents that lose all their lines with words go."""
-    gone = judge_lines(docs, doc_id, text).where("removed").groupBy("doc_id").agg(F.collect_set("line_no").alias("line_dedup_gone"))
+    gone = judge_lines(docs, doc_id, text, count=False).where("removed").groupBy("doc_id").agg(F.collect_set("line_no").alias("line_dedup_gone"))
     gone = materialise(gone, "line-gone").withColumnRenamed("doc_id", "line_dedup_id")
     kept = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("line_dedup_id")), "left")
     left = F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains("line_dedup_gone", i))
