@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm import line_dedup, mixing, packing, quality, simhash
+from lexmill.llm import line_dedup, mixing, near_copies, packing, quality
 from lexmill.llm.common import materialise, table
 
 STAGES = [
     ("quality_rules", quality.stage),
     ("line_dedup", line_dedup.stage),
-    ("simhash_near_dedup", simhash.stage),
+    ("near_dedup", near_copies.stage),
     ("mixing", mixing.stage),
     ("packing", packing.stage),
 ]

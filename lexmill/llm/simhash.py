@@ -174,15 +174,6 @@ def near_duplicates(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", te
     return prints.join(named, "fp").select(*keep, "fp", "component_id")
 
 
-def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays, that of the least id. Rows that repeat both its id and its text
-    stay with it; documents without an id stay, as none of them names a component."""
-    marked = docs.withColumn("simhash_text", F.xxhash64("text"))
-    found = near_duplicates(marked, ["doc_id", "simhash_text"])
-    goes = found.where("doc_id <> component_id").select("doc_id", "simhash_text").distinct()
-    return marked.join(goes, ["doc_id", "simhash_text"], "left_anti").select(*docs.columns)
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents"), ["doc_id"])
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

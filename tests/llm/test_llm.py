@@ -12,7 +12,7 @@ from conftest import SF, same
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lexmill.llm import licenses, line_dedup, media, mixing, mpeg, packing, quality, queries, simhash, token_orc, tokens, toxicity, url_filter
+from lexmill.llm import licenses, line_dedup, media, mixing, mpeg, near_copies, packing, quality, queries, simhash, token_orc, tokens, toxicity, url_filter
 
 EDGE = [(1, None, "s"), (2, "", None), (3, " \n ", "s"), (4, "one two three", "s"), (4, "one two three", "s"), (None, "a null id", "t"), (5, "wörd " * 30000, "t"), (6, "One  two\tthree\r\n\nx.y, z!", "s")]
 
@@ -198,3 +198,34 @@ def test_edges_keep_rows(spark, edge):
     empty = edge.limit(0)
     for f in (line_dedup.judge_lines, lambda d: packing.pack(d, public_tokenizers.path("byte_bpe_50k.json")), lambda d: simhash.near_duplicates(d, ["doc_id"]), lambda d: mixing.plan(d.withColumn("size", mixing.n_words(F.col("text"))))):
         assert f(empty.drop("fp")).count() == 0
+
+
+def test_near_copies_against_all_pairs(spark):
+    words = [f"w{k}" for k in range(3000)]
+    base = [" ".join(words[100 * k : 100 * k + 60]) for k in range(8)]
+    # one word changed of 60 (51 of 61 shingles shared at worst), chains of such changes, and ten words changed
+    edited = [" ".join("new" if k == at else w for k, w in enumerate(x.split())) for x in base for at in (20, 40)]
+    chain = [" ".join("new" if k in (20, 21, 22) else w for k, w in enumerate(x.split())) for x in edited[:4]]
+    far = [" ".join("far" if k % 6 == 0 else w for k, w in enumerate(x.split())) for x in base]
+    texts = [*base, *edited, *chain, *far, base[0].upper(), "short", "short text"]
+    docs = [*spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect(), *((800_000 + k, x) for k, x in enumerate(texts))]
+    sets = {}
+    for d, x in docs:
+        w = [v.decode("utf-8", "replace") for v in (x or "").encode().lower().split()]
+        sets[d] = {" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    out = near_copies.stage(spark, spark.createDataFrame(docs, "doc_id long, text string"), SF)
+    assert sorted(r["doc_id"] for r in out.collect()) == [d for d in ids if find(d) == d]
+    assert len(ids) - len({find(d) for d in ids}) > len(edited)
