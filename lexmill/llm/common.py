@@ -68,3 +68,19 @@ def words(text: Column) -> Column:
 
 def n_words(text: Column) -> Column:
     return F.size(words(text)).cast("long")
+
+
+def single(docs: DataFrame, keys: list[str], among: Column | None = None) -> DataFrame:
+    """docs with one row of those (among some, if named) that agree in keys (nulls equal each other): the least by a
+    hash of all its columns. Only rows that have a double are shuffled."""
+    own = [f"single_{k}" for k in keys]
+    repeated = (docs if among is None else docs.where(among)).groupBy(*keys).agg(F.count("*").alias("single_n")).where("single_n > 1")
+    repeated = materialise(repeated.select(*(F.col(k).alias(o) for k, o in zip(keys, own, strict=True))), "single")
+    if repeated.isEmpty():
+        return docs
+    met = F.lit(True)
+    for k, o in zip(keys, own, strict=True):
+        met = met & F.col(k).eqNullSafe(F.col(o))
+    doubled = docs.join(repeated, met, "left_semi")
+    one = doubled.groupBy(*keys).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("single_row"))
+    return docs.join(repeated, met, "left_anti").unionByName(one.select("single_row.*"))

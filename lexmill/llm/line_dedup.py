@@ -12,9 +12,10 @@ on the whole token sets, read again for the lines that occur in such pairs.
 A line goes if an equal line, or a matching one, stands earlier in (doc_id, line number) order. Tokens and lines are
 told apart by 64-bit hashes.
 
-Defined results: lines without words stay, and match nothing; a null text has no lines; rows that share a
-doc_id are ordered as lines of one document, different lines at one place by their hashes; null ids come last;
-rows repeated whole lose their repeated lines.
+Defined results: lines without words stay, and match nothing; a null text has no lines; null ids come last. In
+judge_lines (op10) rows that share a doc_id are ordered as lines of one document, different lines at one place by
+their hashes. In dedup each row is a document of its own, named by doc_id and its text's hash and ordered by them, so
+what is removed from a row was found in it; of rows that share both, one is read and the others lose all their lines.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import ASCII_SPACE, materialise, table, words
+from lexmill.llm.common import ASCII_SPACE, materialise, single, table, words
 
 THRESHOLD = 0.8
 BUCKETS = 1 << 18
@@ -58,9 +59,9 @@ def tokens(line: Column, ranks: bytes) -> Column:
     return F.sort_array(F.array_distinct(F.transform(hashes, place)))
 
 
-def lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, line_no (from 0), line, lid for the lines with a word."""
-    out = docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line_no", "line"))
+def lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: list[str] = []) -> DataFrame:  # noqa: B006
+    """doc_id, kept columns, line_no (from 0), line, lid for the lines with a word."""
+    out = docs.select(F.col(doc_id).alias("doc_id"), *keep, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line_no", "line"))
     return out.where(F.btrim("line", F.lit(ASCII_SPACE)) != "").withColumn("lid", F.xxhash64("line"))
 
 
@@ -127,16 +128,18 @@ def matches(docs: DataFrame, first: DataFrame, ranks: bytes, every: bool = True)
     return proven.unionByName(verify(pairs.join(proven.select("b"), "b", "left_anti")))
 
 
-def judge_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", count: bool = True) -> DataFrame:
+def judge_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", count: bool = True, by_row: bool = False) -> DataFrame:
     """A row for each line with a word: doc_id, line_no, first_doc and first_line (the earliest equal line, which
-    names the line's class), n_links (classes that match it; null without count) and removed."""
+    names the line's class), n_links (classes that match it; null without count) and removed. With by_row, also
+    text_key (the text's hash), which tells rows of one doc_id apart and orders them."""
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     ranks = rarity(own)
-    found = lines(own)
+    named = ["text_key"] if by_row else []
+    found = lines(own.withColumn("text_key", F.xxhash64("text")) if by_row else own, keep=named)
     toks = tokens(F.col("line"), ranks)
     n = F.size("toks")
     keys = F.when(n < SHORT, F.array(F.xxhash64("toks"))).otherwise(F.slice("toks", F.lit(1), _prefix(n).cast("int")))
-    place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc"), F.col("line_no").alias("line"))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc"), *named, F.col("line_no").alias("line"))
     # lines that a task meets again are dropped before the shuffle by the partial aggregate
     first = found.select("lid", place.alias("place"), toks.alias("toks")).select("lid", "place", n.alias("n"), _bits(F.col("toks")).alias("bits"), keys.alias("keys"))
     first = first.groupBy("lid").agg(F.min("place").alias("place"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
@@ -148,16 +151,19 @@ def judge_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cou
         ends = ends.unionByName(pairs.select(F.col("a").alias("row"), F.lit(False).alias("late")))
     linked = ends.groupBy("row").agg(F.count("*").alias("n_links"), F.max("late").alias("late"))
     classes = materialise(first.select("row", "lid", "place").join(linked, "row", "left").select("lid", "place", (F.coalesce("n_links", F.lit(0)) if count else F.lit(None).cast("long")).alias("n_links"), F.coalesce("late", F.lit(False)).alias("late")), "line-classes")
-    out = found.select("doc_id", "line_no", "lid").join(classes, "lid")
-    here = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc"), F.col("line_no").alias("line"))
-    return out.select("doc_id", "line_no", F.col("place.doc").alias("first_doc"), F.col("place.line").alias("first_line"), "n_links", (F.col("late") | (here > F.col("place"))).alias("removed"))
+    out = found.select("doc_id", *named, "line_no", "lid").join(classes, "lid")
+    here = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc"), *named, F.col("line_no").alias("line"))
+    return out.select("doc_id", *named, "line_no", F.col("place.doc").alias("first_doc"), F.col("place.line").alias("first_line"), "n_links", (F.col("late") | (here > F.col("place"))).alias("removed"))
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with removed lines cut from their texts; documents that lose all their lines with words go."""
-    gone = judge_lines(docs, doc_id, text, count=False).where("removed").groupBy("doc_id").agg(F.collect_set("line_no").alias("line_dedup_gone"))
-    gone = materialise(gone, "line-gone").withColumnRenamed("doc_id", "line_dedup_id")
-    kept = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("line_dedup_id")), "left")
+    keyed = docs.withColumn("line_dedup_key", F.xxhash64(text))
+    worded = F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(ASCII_SPACE)) != ""
+    keyed = single(keyed, [doc_id, "line_dedup_key"], worded)
+    gone = judge_lines(keyed, doc_id, text, count=False, by_row=True).where("removed").groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("line_dedup_gone"))
+    gone = materialise(gone, "line-gone").withColumnsRenamed({"doc_id": "line_dedup_id", "text_key": "line_dedup_text_key"})
+    kept = keyed.join(gone, F.col(doc_id).eqNullSafe(F.col("line_dedup_id")) & (F.col("line_dedup_key") == F.col("line_dedup_text_key")), "left")
     left = F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains("line_dedup_gone", i))
     kept = kept.withColumn("line_dedup_text", F.when(F.col("line_dedup_gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
     kept = kept.where(F.col("line_dedup_gone").isNull() | (F.btrim("line_dedup_text", F.lit(ASCII_SPACE)) != ""))

@@ -229,3 +229,16 @@ def test_near_copies_against_all_pairs(spark):
     out = near_copies.stage(spark, spark.createDataFrame(docs, "doc_id long, text string"), SF)
     assert sorted(r["doc_id"] for r in out.collect()) == [d for d in ids if find(d) == d]
     assert len(ids) - len({find(d) for d in ids}) > len(edited)
+
+
+@pytest.mark.parametrize("shared", [None, 7])
+def test_line_dedup_keeps_rows_of_one_id_apart(spark, shared):
+    own = lambda k: f"plain line number {k} about the {k} houses and {k} gardens of town{k} a{k} b{k} c{k} d{k} e{k} f{k}"
+    a, b = [own(k) for k in range(6)], [own(k) for k in range(10, 16)]
+    rows = [(1, own(30)), (shared, "\n".join(a)), (shared, "\n".join([*b[:5], own(30)])), (shared, "\n".join([own(50), own(51)])), (shared, "\n".join([own(50), own(52)]))]
+    rows += [(shared, "\n".join([own(60), own(61)]))] * 2
+    out = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    texts = [r["text"] for r in out]
+    assert "\n".join(a) in texts and "\n".join(b[:5]) in texts
+    got = sorted(x for t in texts for x in t.split("\n"))
+    assert got == sorted({x for _, t in rows for x in t.split("\n")})
