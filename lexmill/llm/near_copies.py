@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import materialise
+from lexmill.llm.common import materialise, single
 from lexmill.llm.simhash import components
 
 SHINGLE = 5
@@ -170,8 +170,8 @@ def groups(docs: DataFrame, distinct: DataFrame, ranks: np.ndarray) -> DataFrame
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, that of the least id. Rows that repeat both its id and its text
-    stay with it; documents without an id stay, as none of them names a group."""
+    """Exactly one row of each group stays: that of the least id (null ids last), then of the least text hash; of rows
+    that share both, one."""
     marked = docs.withColumn("copy_text", F.xxhash64("text"))
     ranks = rarity(docs)
     found = materialise(sketches(marked, ranks), "copies")
@@ -182,5 +182,8 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     grouped = distinct.join(roots, distinct["sig"] == roots["node"], "left").select("sig", "least", F.coalesce("root", "sig").alias("root"))
     named = grouped.groupBy("root").agg(F.min("least").alias("stays"))
     named = materialise(grouped.select("sig", "root").join(named, "root").select("sig", "stays"), "copies-stay")
-    goes = found.select("doc_id", "copy_text", "sig").join(named, "sig").where(F.col("doc_id") != F.col("stays.doc_id")).select("doc_id", "copy_text").distinct()
-    return marked.join(goes, ["doc_id", "copy_text"], "left_anti").select(*docs.columns)
+    stays = F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("copy_text") == F.col("stays.copy_text"))
+    goes = found.select("doc_id", "copy_text", "sig").join(named, "sig").where(~stays)
+    goes = goes.select(F.col("doc_id").alias("goes_id"), F.col("copy_text").alias("goes_text")).distinct()
+    left = marked.join(goes, F.col("doc_id").eqNullSafe(F.col("goes_id")) & (F.col("copy_text") == F.col("goes_text")), "left_anti")
+    return single(left, ["doc_id", "copy_text"]).select(*docs.columns)

@@ -242,3 +242,11 @@ def test_line_dedup_keeps_rows_of_one_id_apart(spark, shared):
     assert "\n".join(a) in texts and "\n".join(b[:5]) in texts
     got = sorted(x for t in texts for x in t.split("\n"))
     assert got == sorted({x for _, t in rows for x in t.split("\n")})
+
+
+def test_near_copies_keep_one_row_of_each_group(spark):
+    x = " ".join(f"w{k}" for k in range(60))
+    y, z = x.replace("w30", "new"), " ".join(f"z{k}" for k in range(60))
+    rows = [(5, x, "a"), (5, x, "b"), (5, y, "a"), (9, x, "a"), (None, x, "a"), (None, y, "a"), (None, z, "a"), (None, z, "a"), (None, z + " end", "a"), (None, "alone", "a")]
+    out = near_copies.stage(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), SF).collect()
+    assert sorted((r["doc_id"] or 0, r["text"][:2]) for r in out) == [(0, "al"), (0, "z0"), (5, "w0")]
