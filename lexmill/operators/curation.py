@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from lexmill.config import CURATE, INGEST
 from lexmill.functions import text as T
+from lexmill.operators.domain_table import GENERAL, KEYWORDS, TEMPLATES
 
-#: domain -> keywords; in declared order, which settles ties. A larger table is a parameter.
+#: The small table that the SQL of a5 and a3 names; domain_table.KEYWORDS is the default.
 DOMAINS = {
     "medicine": ("patient", "doctor", "disease", "therapy", "clinic"),
     "law": ("license", "licensed", "court", "contract", "statute"),
@@ -16,8 +17,6 @@ DOMAINS = {
     "science": ("theory", "energy", "experiment", "species", "cell"),
     "history": ("king", "war", "empire", "century", "ancient"),
 }
-GENERAL = ("What is {label}about?", "Summarise what {label}says.", "What are the main points of {label}?")
-TEMPLATES = {"law": ("Which terms does {label}set?", "What does {label}permit?"), "software": ("How does {label}work?", "What does {label}require?")}
 
 
 def chunks(df: DataFrame, text: str = "text", key: str = "doc_id", c=INGEST) -> DataFrame:
@@ -39,19 +38,22 @@ def first_by_hash(df: DataFrame, text: str, order: str) -> DataFrame:
 
 def domain_scores(df: DataFrame, text: str = "text", filename: Column | None = None, domains=None) -> DataFrame:
     """df with domain and domain_score: keyword occurrences, those in the file name twice; the first domain wins ties."""
-    low, name = F.lower(F.coalesce(F.col(text), F.lit(""))), F.lower(F.coalesce(filename, F.lit(""))) if filename is not None else None
+    low = {"domain_low": F.lower(F.coalesce(F.col(text), F.lit("")))}
+    if filename is not None:
+        low["domain_name"] = F.lower(F.coalesce(filename, F.lit("")))
+    df = df.withColumns(low)
 
-    def count(where: Column, k: str) -> Column:
-        return ((F.length(where) - F.length(F.replace(where, F.lit(k), F.lit("")))) / len(k)).cast("int")
+    def count(where: str, k: Column) -> Column:
+        # in bytes, which are known without a pass over the text
+        return ((F.octet_length(where) - F.octet_length(F.replace(F.col(where), k, F.lit("")))) / F.octet_length(k)).cast("int")
 
     scores = []
-    for d, (label, keys) in enumerate((domains or DOMAINS).items()):
-        total = F.lit(0)
-        for k in keys:
-            total = total + count(low, k) + (2 * count(name, k) if name is not None else 0)
+    for d, (label, keys) in enumerate((domains or KEYWORDS).items()):
+        found = lambda s, k: s + count("domain_low", k) + (2 * count("domain_name", k) if filename is not None else 0)
+        total = F.aggregate(F.array(*map(F.lit, keys)), F.lit(0), found)
         scores.append(F.struct(total.alias("score"), F.lit(-d).alias("place"), F.lit(label).alias("label")))
     best = df.withColumn("domain_best", F.array_max(F.array(*scores)))
-    return best.withColumns({"domain": F.when(F.col("domain_best.score") > 0, F.col("domain_best.label")).otherwise("general"), "domain_score": F.col("domain_best.score")}).drop("domain_best")
+    return best.withColumns({"domain": F.when(F.col("domain_best.score") > 0, F.col("domain_best.label")).otherwise("general"), "domain_score": F.col("domain_best.score")}).drop("domain_best", *low)
 
 
 def pair_turns(df: DataFrame, conv: str = "conv_id", order: str = "turn", role: str = "role", text: str = "text") -> DataFrame:

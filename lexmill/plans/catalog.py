@@ -134,12 +134,12 @@ def _domain_sql() -> str:
 
 @query("a5_domain", _domain_sql())
 def _(spark, d):
-    return C.domain_scores(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", "domain", "domain_score")
+    return C.domain_scores(t(spark, d, "documents").select("doc_id", "text"), domains=C.DOMAINS).select("doc_id", "domain", "domain_score")
 
 
 @query("a3_domain_frequency", f"SELECT domain, count(*) AS n FROM ({_domain_sql()}) GROUP BY domain")
 def _(spark, d):
-    return C.domain_scores(t(spark, d, "documents").select("doc_id", "text")).groupBy("domain").agg(F.count("*").alias("n"))
+    return C.domain_scores(t(spark, d, "documents").select("doc_id", "text"), domains=C.DOMAINS).groupBy("domain").agg(F.count("*").alias("n"))
 
 
 _PAIRS = f"""s AS (SELECT conv_id, turn, role, text, lag(text) OVER w AS u, lag(role) OVER w AS r FROM conversations WHERE {_strip('text')} <> '' WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),

@@ -77,3 +77,28 @@ def test_streams_agree_with_batch(spark, tmp_path):
         q = streamed.writeStream.format("memory").queryName(name).option("checkpointLocation", str(tmp_path / f"c-{name}")).outputMode("append").trigger(availableNow=True).start()
         q.awaitTermination(120)
         assert sorted(map(tuple, spark.table(name).collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_default_domains_are_the_whole_table(spark):
+    from lexmill.operators import curation
+    from lexmill.operators.domain_table import GENERAL, KEYWORDS, TEMPLATES
+    from lexmill.plans import catalog
+
+    sizes = {"neuroscience": 28, "physics": 28, "mathematics": 26, "computer_science": 24, "philosophy": 28, "biography": 28, "law": 28, "economics": 26, "literature": 25, "psychology": 20, "history": 23, "science_general": 22, "astronomy": 21, "biology": 22, "chemistry": 20}
+    assert {d: len(v) for d, v in KEYWORDS.items()} == sizes and list(TEMPLATES) == list(sizes)
+    assert len(GENERAL) == 10 and all(len(set(v)) == 8 for v in TEMPLATES.values())
+    texts = ["The synapse and the axon", "photon, photon and galaxy", "a tort; a tort", "nothing", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["doc_id"]: (r["domain"], r["domain_score"]) for r in curation.domain_scores(docs).collect()}
+    assert got == {0: ("neuroscience", 2), 1: ("physics", 2), 2: ("law", 2), 3: ("general", 0), 4: ("general", 0)}
+    SF = "/root/testdata/sf0.001"
+    scores = {}
+    for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect():
+        found = {d: sum((r["text"] or "").lower().count(k) for k in v) for d, v in KEYWORDS.items()}
+        best = max(found, key=found.get)
+        scores[r["doc_id"]] = best if found[best] else "general"
+    asked = catalog.QUERIES["j7_document_questions"](spark, SF).collect()
+    assert {r["doc_id"]: r["domain"] for r in asked} == scores
+    for d, domain in scores.items():
+        own = [r["question"] for r in asked if r["doc_id"] == d]
+        assert len(set(own)) == len(own) == (3 if domain == "general" else 5)
