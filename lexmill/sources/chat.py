@@ -14,14 +14,22 @@ def _kind(v: str) -> Column:
     return F.expr(f"schema_of_variant({v})")
 
 
+def _listed(v: str, field: str) -> Column:
+    """The first text or content string of a list's objects, whichever item holds it."""
+    held = lambda k: f"CASE WHEN schema_of_variant(try_variant_get(x, '$.{k}', 'variant')) = 'STRING' THEN nullif(try_variant_get(x, '$.{k}', 'string'), '') END"
+    items = f"try_variant_get({v}, '$.{field}', 'array<variant>')"
+    return F.expr(f"get(filter(transform({items}, x -> coalesce({held('text')}, {held('content')})), y -> y IS NOT NULL), 0)")
+
+
 def content(v: str) -> Column:
     """The first of content, text, message that holds something: a string, parts, a text field, or a list of such."""
     out = []
     for f in ("content", "text", "message"):
         whole = F.expr(f"try_variant_get({v}, '$.{f}', 'variant')")
         kind = F.expr(f"schema_of_variant(try_variant_get({v}, '$.{f}', 'variant'))")
+        first = F.expr(f"schema_of_variant(try_variant_get({v}, '$.{f}[0]', 'variant'))")
         plain = F.when(kind == "STRING", _text(v, f"$.{f}")[0])
-        out.append(F.coalesce(plain, F.when(whole.isNotNull(), F.coalesce(*_text(v, f"$.{f}.parts[0]", f"$.{f}.text", f"$.{f}[0].text", f"$.{f}[0].content", f"$.{f}[0]")))))
+        out.append(F.coalesce(plain, F.when(whole.isNotNull(), F.coalesce(*_text(v, f"$.{f}.parts[0]", f"$.{f}.text", f"$.{f}[0].text", f"$.{f}[0].content"), F.when(first == "STRING", _text(v, f"$.{f}[0]")[0]), _listed(v, f), *_text(v, f"$.{f}[0]")))))
     return F.trim(F.coalesce(*out, F.lit("")))
 
 

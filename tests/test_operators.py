@@ -102,3 +102,10 @@ def test_default_domains_are_the_whole_table(spark):
     for d, domain in scores.items():
         own = [r["question"] for r in asked if r["doc_id"] == d]
         assert len(set(own)) == len(own) == (3 if domain == "general" else 5)
+
+
+def test_list_content_takes_the_first_item_with_text(spark):
+    lists = ['[{"type": "image"}, {"type": "text", "text": "see this"}]', '["plain", {"text": "later"}]']
+    rows = [(k, f'[{{"messages": [{{"role": "user", "content": {x}}}]}}]') for k, x in enumerate(lists)]
+    got = chat.messages(chat.conversations(spark.createDataFrame(rows, "file int, value string"))).collect()
+    assert sorted((r["file"], r["text"]) for r in got) == [(0, "see this"), (1, "plain")]
