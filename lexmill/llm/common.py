@@ -21,20 +21,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a folder of our own only where none is named."""
+    """The cluster's shared folder (spark.checkpoint.dir). Only a local master, where one process is all, may do without."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = f"{tempfile.gettempdir()}/checkpoints"
     return named.rstrip("/")
 
 
+#: The paths that open scopes will remove, innermost last.
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder, removed when the driver ends."""
+    """A fresh path in the shared folder, removed with the scope it is made in, or when the driver ends."""
     path = f"{shared_dir(spark)}/lexmill-{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     atexit.register(_remove, spark, path)
     return path
 
 
+@contextlib.contextmanager
+def discarding(spark: SparkSession):
+    """Tables written inside are removed at the end, but for those that materialise(..., keep=True) wrote."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            _remove(spark, path)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     with contextlib.suppress(Exception):
         jvm = spark.sparkContext._jvm
@@ -46,10 +65,15 @@ def _remove(spark: SparkSession, path: str) -> None:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write df to the shared folder and read it back: computed once, lineage cut, survives lost executors."""
+def materialise(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Write df to the shared folder and read it back: computed once, lineage cut, survives lost executors. With keep, the
+    table outlives the scope that it is made in."""
     spark = df.sparkSession
     path, before = scratch_path(spark, label), spark.conf.get(_CLEANUP, None)
+    if keep and _scopes:
+        _scopes[-1].remove(path)
+        if len(_scopes) > 1:
+            _scopes[-2].append(path)
     spark.conf.set(_CLEANUP, "true")
     try:
         df.write.option("compression", "zstd").parquet(path)
@@ -58,6 +82,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free(df: DataFrame, name: str) -> str:
+    """The name, with as many "_" behind it as make it new to df (names are compared without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def words(text: Column) -> Column:
     """array<string> of the words of a text; null and blank texts have none."""
     even = F.coalesce(text, F.lit(""))

@@ -1,23 +1,31 @@
-"""Media columns: texts kept as MPEG audio streams, and features read back from the stored bytes.
+"""Media columns: texts stored as MPEG audio streams, and features read back from the stored bytes.
 
-Defined results: a null or empty text has 0 bytes and a payload of 64 zero bytes; equal texts give equal
-streams; very long texts take more frames, one after the other; other columns pass through untouched.
+`store` writes a table with the streams, `features` scans streams row by row; both work in Arrow batches of at most
+BATCH_BYTES of streams and BATCH_ROWS rows, so memory is bounded by that and the longest single text.
+
+Defined results: a null or empty text has 0 bytes and a payload of 64 zero bytes; equal texts give equal streams;
+very long texts take more frames, one after the other; repeated rows stay as many as they are; an empty table gives an
+empty one; other columns pass through untouched, and a new column whose name is taken gets "_" put behind it.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from lexmill.llm import mpeg
-from lexmill.llm.common import table
+from lexmill.llm.common import free, materialise, table
 
 BLOCK = 64
+BATCH_BYTES = 4 << 20
+BATCH_ROWS = 512
 FEATURES = (
     "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, "
     "n_frames long, n_samples long, sample_rate int, duration_s double, crc_ok long, crc_bad long, skipped_bytes long, "
@@ -29,13 +37,8 @@ def pad(data: bytes) -> bytes:
     return data + bytes(-len(data) % BLOCK if data else BLOCK)
 
 
-def encode_udf():
-    @F.pandas_udf("binary")
-    def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in texts:
-            yield pd.Series([mpeg.carry(pad(b or b""), len(b or b"")) for b in s], dtype=object)
-
-    return encode
+def encode(raw: bytes | None) -> bytes:
+    return mpeg.carry(pad(raw or b""), len(raw or b""))
 
 
 def read(media: bytes) -> dict:
@@ -65,24 +68,45 @@ def read(media: bytes) -> dict:
     }
 
 
-def decode_udf():
-    names = [x.split()[0] for x in FEATURES.split(", ")]
+def _appended(df: DataFrame, source: str, to: str, kind: str, each: Callable, drop: bool = False) -> DataFrame:
+    """df with a column `to` of each(source's bytes), in batches bounded by bytes; drop: without the source."""
+    own = [c for c in df.columns if not (drop and c == source)]
+    given = df.select(*own, F.col(source).cast("binary").alias(free(df, "media_source")))
+    schema = StructType([*given.schema.fields[:-1], *StructType.fromDDL(f"`{to}` {kind}").fields])
+    types = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raws, at, made, size = batch.columns[-1], 0, [], 0
+            for k in range(batch.num_rows):
+                raw = raws[k].as_py()
+                made.append(each(raw))
+                size += len(raw or b"")
+                if size >= BATCH_BYTES or len(made) == BATCH_ROWS or k == batch.num_rows - 1:
+                    kept = [c.cast(t) for c, t in zip(batch.slice(at, len(made)).columns[:-1], types.types, strict=False)]
+                    yield pa.RecordBatch.from_arrays([*kept, pa.array(made, types.types[-1])], schema=types)
+                    at, made, size = k + 1, [], 0
+
+    return given.mapInArrow(run, schema)
+
+
+def store(df: DataFrame, text: str = "text", media: str = "media") -> DataFrame:
+    """df with the stream of each text (binary) in place of the text."""
+    return _appended(df, text, media, "binary", encode, drop=True)
 
-    @F.pandas_udf(FEATURES)
-    def decode(media: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for s in media:
-            yield pd.DataFrame([read(b) for b in s], columns=names)
 
-    return decode
+def features(df: DataFrame, media: str = "media", to: str = "media_features") -> DataFrame:
+    """df with what a scan of its streams finds (struct)."""
+    return _appended(df, media, to, f"struct<{FEATURES.replace(' ', ':').replace(',:', ',')}>", read)
 
 
-def media_columns(df: DataFrame, text: str = "text", media: str = "media", features: str = "media_features") -> DataFrame:
+def media_columns(df: DataFrame, text: str = "text", media: str = "media", to: str = "media_features") -> DataFrame:
     """df with the stored stream (binary) and the features read back from it (struct)."""
-    out = df.withColumn(media, encode_udf()(F.col(text).cast("binary")))
-    return out.withColumn(features, decode_udf()(F.col(media)))
+    media, to = free(df, media), free(df, to)
+    return features(_appended(df, text, media, "binary", encode), media, to)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = media_columns(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    stored = materialise(store(table(spark, sf_dir, "documents").select("doc_id", "text")), "media")
     names = ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_frames", "n_samples", "sample_rate", "duration_s", "seek_offsets")
-    return out.select("doc_id", *(F.col(f"media_features.{x}").alias(x) for x in names))
+    return features(stored).select("doc_id", *(F.col(f"media_features.{x}").alias(x) for x in names))

@@ -168,28 +168,36 @@ def _plausible(data: bytes, at: int, end: int) -> tuple | None:
     head = header(data[at : at + 4])
     if head is None or at + head[6] > end:
         return None
-    following = data[at + head[6] : at + head[6] + 4]
-    if at + head[6] == end or ((x := header(following)) and (x[:2], x[3]) == (head[:2], head[3])):
+    after = at + head[6]
+    if after == end or _is_trailer(data, after) or ((x := header(data[after : after + 4])) and (x[:2], x[3]) == (head[:2], head[3])):
         return head
     return None
 
 
+def _is_trailer(data: bytes, at: int) -> bool:
+    """An ID3v1 tag stands at `at`: 128 bytes that end the data. Only asked where a frame has ended, so bytes of a frame's
+    body are never taken for one."""
+    return len(data) - at == 128 and data[at : at + 3] == b"TAG"
+
+
 def scan(data: bytes) -> Scan:
     """Reads a stream: bytes that fit no frame are skipped up to the next plausible header."""
     out, at, end = Scan(), 0, len(data)
     while data[at : at + 3] == b"ID3" and end - at >= 10:
         at += _id3v2(data[at:], out.tags)
-    if end - at >= 128 and data[end - 128 : end - 125] == b"TAG":
-        end -= 128
-        out.tags.setdefault("title", data[end + 3 : end + 33].split(b"\x00")[0].decode("latin-1"))
     first = True
     while at + 4 <= end:
+        if _is_trailer(data, at):
+            out.tags.setdefault("title", data[at + 3 : at + 33].split(b"\x00")[0].decode("latin-1"))
+            at = end
+            break
         head = header(data[at : at + 4])
         if head is None or at + head[6] > end or (first and not _plausible(data, at, end)):
             step = data.find(b"\xff", at + 1, end)
             while step >= 0 and not _plausible(data, step, end):
                 step = data.find(b"\xff", step + 1, end)
-            step = end if step < 0 else step
+            if step < 0:
+                step = end - 128 if at < end - 128 and _is_trailer(data, end - 128) else end
             out.skipped += step - at
             at = step
             continue
