@@ -38,10 +38,12 @@ MERGED = 1 << 30
 
 
 class Piece:
+    """A run of a document's ids; ids is a view, so a cut copies nothing."""
+
     __slots__ = ("doc_id", "start", "ids", "total")
 
-    def __init__(self, doc_id, start: int, ids: bytes, total: int):
-        self.doc_id, self.start, self.ids, self.total = doc_id, start, ids, total
+    def __init__(self, doc_id, start: int, ids: bytes | memoryview, total: int):
+        self.doc_id, self.start, self.ids, self.total = doc_id, start, memoryview(ids), total
 
     def __len__(self) -> int:
         return len(self.ids) // 4
@@ -63,6 +65,7 @@ class Packer:
         while len(piece) >= self.length:
             head, piece = piece.cut(self.length)
             yield [head]
+        piece.ids = memoryview(bytes(piece.ids))  # a rest that waits in a window doesn't hold its whole document
         while len(piece):
             at = bisect_left(self.free, (len(piece), -1))
             if at < len(self.free):
@@ -84,7 +87,7 @@ class Packer:
 def _rows(pieces: list[Piece], sequence: int, keep: bool = False) -> list[tuple]:
     out, at = [], 0
     for p in pieces:
-        out.append((p.doc_id, p.start, len(p), zlib.crc32(p.ids), p.total, sequence, at, p.ids if keep else None))
+        out.append((p.doc_id, p.start, len(p), zlib.crc32(p.ids), p.total, sequence, at, bytes(p.ids) if keep else None))
         at += len(p)
     return out
 

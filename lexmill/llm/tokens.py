@@ -55,7 +55,8 @@ class Encoder:
 
     def __init__(self, path: str, kind: str):
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        #: Strings of added tokens: a text with one goes whole to the library, which gives them their single ids.
+        self.added = [b"<|", *sorted({t.content.encode() for t in self.tok.get_added_tokens_decoder().values()} - {b""})]
         self.model = self.tok.model
         self.kind = kind
         self.letters = {k: x for k, x in enumerate(_byte_letters())}
@@ -65,7 +66,7 @@ class Encoder:
         return _pack(self.tok.encode(text, add_special_tokens=False).ids)
 
     def encode(self, raw: bytes) -> bytes:
-        if b"<|" in raw or len(raw.translate(None, _CONTROLS)) != len(raw):
+        if any(x in raw for x in self.added) or len(raw.translate(None, _CONTROLS)) != len(raw):
             return self.whole(raw.decode("utf-8", "replace"))
         if not raw.isascii():
             text = raw.decode("utf-8", "replace")
