@@ -1,29 +1,36 @@
 """Line dedup: an exact set-similarity join of lines, after which later matches go.
 
 A line's set is its distinct words in lower case. Two lines match if their sets' Jaccard similarity is at
-least THRESHOLD. Tokens are ordered by rarity: by the document frequency of their bucket (2^18 buckets, counted
-over all documents), then by hash, which is one order for all lines, as prefix filters need. A line's prefix are its
-first n - ceil(t n) + 1 tokens; matching lines share one. Equal lines are one row before the join, and lines of
-under four tokens match only equal sets, by a key of the whole set. The join applies the length filter
-and the positional filter (what can still follow the shared prefix token), and compares 64-bit parities of the sets, which
-bound their difference from below; a pair comes by the first of a run of shared tokens only. Pairs that pass are verified
-on the whole token sets, read again for the lines that occur in such pairs.
-
-A line goes if an equal line, or a matching one, stands earlier in (doc_id, line number) order. Tokens and lines are
-told apart by 64-bit hashes.
-
-Defined results: lines without words stay, and match nothing; a null text has no lines; null ids come last. In
-judge_lines (op10) rows that share a doc_id are ordered as lines of one document, different lines at one place by
-their hashes. In dedup each row is a document of its own, named by doc_id and its text's hash and ordered by them, so
-what is removed from a row was found in it; of rows that share both, one is read and the others lose all their lines.
+least THRESHOLD. Each word is hashed once; the sets are written, and lines of equal sets are one class (node) from
+there on. Tokens are ordered by rarity: by the count of their bucket (2^18 buckets, counted over all lines), then by
+hash, which is one order for all lines, as prefix filters need. A line's prefix are its first n - ceil(t n) + 1 tokens;
+matching sets share one. Sets of under four tokens match equal sets only.
+
+Groups of near copies cost what their lines do, not their pairs. First, stars: under the least and the greatest hash of
+its set, each node is compared with the earliest node there. A node's home is the earliest star it was verified with, at
+the distance d (tokens in one set only). For x and y of one home the triangle inequality gives distance(x, y) <= d_x + d_y,
+and similarity of at least 4/5 is distance <= (n_x + n_y) / 9: so where 9 d - n of both add up to 0 or less, they match
+without a look at their sets, and such pairs are counted from a histogram of each home. Second, the prefix join with
+length and positional filters, for what the stars leave open: pairs of two homes, or of one home and a greater sum;
+or, if matches need not be counted, later lines that no star has removed. The join compares 64-bit parities of the sets, which bound
+their distance from below; pairs that pass meet 256-bit parities, then the whole sets.
+
+A line goes if a line of an equal or matching set stands earlier in (doc_id, line number) order. Words are told apart by
+64-bit hashes, sets by a 64-bit hash of those.
+
+Defined results: lines without words stay, and match nothing; a null text has no lines; null ids come last; an empty
+table gives an empty one; other columns pass through dedup whatever their names. In judge_lines (op10) rows that share a
+doc_id are ordered as lines of one document, and of rows repeated whole each line is one place, which stays. In dedup each
+row is a document of its own, named by doc_id and its text's hash and ordered by them, so what is removed from a row was
+found in it; of rows that share both, one is read and the others lose all their lines.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import ASCII_SPACE, materialise, single, table, words
+from lexmill.llm.common import ASCII_SPACE, discarding, free, materialise, single, table, words
 
 THRESHOLD = 0.8
 BUCKETS = 1 << 18
@@ -32,41 +39,46 @@ _NUM, _DEN = 4, 5  # THRESHOLD as a fraction: filters in whole numbers
 WORDS = 4
 #: Sets of fewer tokens match equal sets only.
 SHORT = 4
-#: Up to so many line hashes (16 MB) are broadcast to pick the lines that need verifying; more are joined by shuffle.
-BROADCAST_LINES = 1_000_000
+#: Up to so many nodes (24 MB) are broadcast to a join; more are joined by shuffle.
+BROADCAST_NODES = 1_000_000
 
 
-def _fold(text: Column) -> Column:
-    return F.lower(text)
+def tokens(line: Column) -> Column:
+    """array<long>: hashes of the line's distinct words in lower case."""
+    return F.array_distinct(F.transform(words(F.lower(line)), lambda w: F.xxhash64(w)))
 
 
-def rarity(docs: DataFrame, text: str = "text") -> bytes:
-    """A byte for each bucket of words: 1 to 127, four to each doubling of the words that fall in it. Its size is fixed."""
-    seen = docs.select(F.explode(words(_fold(F.col(text)))).alias("w")).select(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("b"))
-    counts = seen.groupBy("b").agg(F.count("*").alias("n"))
-    every = docs.sparkSession.range(BUCKETS).withColumnRenamed("id", "b").join(counts, "b", "left")
-    degree = F.least(F.lit(127), 1 + F.floor(4 * F.log2(1 + F.coalesce("n", F.lit(0))))).cast("int")
-    listed = every.select(F.struct("b", F.char(degree).alias("c")).alias("s")).agg(F.sort_array(F.collect_list("s")).alias("s"))
-    return listed.select(F.array_join(F.transform("s", lambda x: x["c"]), "")).first()[0].encode("ascii")
+def lines(docs: DataFrame, doc_id: str, text: str, by_row: bool) -> DataFrame:
+    """doc (the id), text_key (the text's hash; 0 without by_row), line (from 0), sig, n, toks for the lines with a word."""
+    key = F.xxhash64(text) if by_row else F.lit(0).cast("long")
+    out = docs.select(F.col(doc_id).alias("doc"), key.alias("text_key"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line", "said"))
+    # told by the line itself: a condition on the tokens would be pushed below them, and make them twice
+    out = out.where(F.btrim("said", F.lit(ASCII_SPACE)) != "").select("doc", "text_key", "line", tokens(F.col("said")).alias("toks"))
+    return out.select("doc", "text_key", "line", F.xxhash64(F.sort_array("toks")).alias("sig"), F.size("toks").alias("n"), "toks")
 
 
-def tokens(line: Column, ranks: bytes) -> Column:
-    """array<long>: the line's distinct words as rank and hash in one number, ascending from the rarest."""
-    hashes = F.transform(words(_fold(line)), lambda w: F.xxhash64(w))
-    held = F.lit(bytearray(ranks))
-    degree = lambda h: F.ascii(F.substring(held, F.pmod(h, F.lit(BUCKETS)).cast("int") + 1, F.lit(1)).cast("string"))
-    place = lambda h: F.shiftleft(degree(h).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
-    return F.sort_array(F.array_distinct(F.transform(hashes, place)))
+def rarity(found: DataFrame) -> Column:
+    """array<tinyint>, as a literal: for each bucket of words 1 to 127, four to each doubling of the lines that have it. Its
+    size is fixed."""
+    counts = found.select(F.explode("toks").alias("w")).groupBy(F.pmod("w", F.lit(BUCKETS)).cast("int").alias("b")).agg(F.count("*").alias("n"))
+    got = counts.select("b", F.least(F.lit(127), 1 + F.floor(4 * F.log2(1 + F.col("n")))).cast("int").alias("r")).toPandas()
+    ranks = [1] * BUCKETS
+    for b, r in zip(got["b"].tolist(), got["r"].tolist(), strict=True):
+        ranks[b] = r
+    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<tinyint>")
 
 
-def lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: list[str] = []) -> DataFrame:  # noqa: B006
-    """doc_id, kept columns, line_no (from 0), line, lid for the lines with a word."""
-    out = docs.select(F.col(doc_id).alias("doc_id"), *keep, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line_no", "line"))
-    return out.where(F.btrim("line", F.lit(ASCII_SPACE)) != "").withColumn("lid", F.xxhash64("line"))
+def _ordered(toks: Column, ranks: Column) -> Column:
+    """Rank and hash in one number, ascending from the rarest."""
+    return F.sort_array(F.transform(toks, lambda h: F.shiftleft(F.get(ranks, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))
 
 
 def _prefix(n: Column) -> Column:
-    return F.least(n, n - F.ceil(n * _NUM / F.lit(_DEN)) + 1)
+    return F.least(n, n - F.ceil(n * _NUM / F.lit(_DEN)) + 1).cast("int")
+
+
+def _bit(tok: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), tok.bitwiseAND(F.lit(63)).cast("int"))
 
 
 def _bits(toks: Column) -> Column:
@@ -74,100 +86,161 @@ def _bits(toks: Column) -> Column:
     return F.aggregate(toks, F.lit(0).cast("long"), lambda s, t: s.bitwiseXOR(_bit(t)))
 
 
-def _bit(tok: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), tok.bitwiseAND(F.lit(63)).cast("int"))
+def _wide(toks: Column) -> list[Column]:
+    """_bits in WORDS words: longer lines fill one."""
 
+    def word(k: int) -> Column:
+        return _bits(F.filter(toks, lambda t: F.shiftrightunsigned(t, 6).bitwiseAND(F.lit(WORDS - 1)) == k))
+
+    return [word(k) for k in range(WORDS)]
 
-def _wide(toks: Column) -> Column:
-    """_bits in WORDS words: longer lines fill one."""
-    own = lambda t: F.shiftright(t, 6).bitwiseAND(F.lit(WORDS - 1))
-    word = lambda k: F.aggregate(toks, F.lit(0).cast("long"), lambda s, t: F.when(own(t) == k, s.bitwiseXOR(_bit(t))).otherwise(s))
-    return F.array(*map(word, range(WORDS)))
 
+def _limit(na: Column, nb: Column) -> Column:
+    """The greatest distance at which sets of these sizes match."""
+    return F.floor((na + nb) * (_DEN - _NUM) / F.lit(_NUM + _DEN))
 
-def _apart(a: Column, b: Column) -> Column:
-    return sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(1, WORDS)), F.bit_count(F.get(a, F.lit(0)).bitwiseXOR(F.get(b, F.lit(0)))))
 
+def _place(x: str = "") -> Column:
+    return F.struct(F.col(f"doc{x}").isNull().alias("last"), F.col(f"doc{x}").alias("doc"), F.col(f"text_key{x}").alias("text_key"), F.col(f"line{x}").alias("line"))
 
-def matches(docs: DataFrame, first: DataFrame, ranks: bytes, every: bool = True) -> DataFrame:
-    """a < b: verified pairs of different lines (row numbers in first, in order of place) with similarity of at least
-    THRESHOLD. With every, all of them; else for each later line b at least one, if it has any: its first candidate is
-    verified alone, the others only where that fails, so a group of near copies costs what its lines do, not its pairs."""
-    rows = first.select("row", "n", "bits", "keys", F.posexplode("keys").alias("at", "key"))
-    rows = rows.withColumn("before", F.when(F.col("at") > 0, F.get("keys", F.col("at") - 1)))
-    left = rows.select("key", *(F.col(c).alias(f"{c}_a") for c in ("row", "n", "at", "bits", "before")))
-    right = rows.select("key", *(F.col(c).alias(f"{c}_b") for c in ("row", "n", "at", "bits", "before")))
+
+def _held(small: DataFrame) -> DataFrame:
+    return F.broadcast(small) if small.count() <= BROADCAST_NODES else small
+
+
+def nodes(found: DataFrame, ranks: Column) -> DataFrame:
+    """A row for each set: sig, its earliest line (doc, text_key, line), copies, n, bits, lo and hi (least and greatest hash), prefix."""
+    n, order = F.col("n"), _ordered(F.col("toks"), ranks)
+    prefix = F.when(n >= SHORT, F.slice(order, F.lit(1), _prefix(n)))
+    each = found.select("sig", _place().alias("place"), "n", _bits(F.col("toks")).alias("bits"), F.array_min("toks").alias("lo"), F.array_max("toks").alias("hi"), prefix.alias("prefix"))
+    # lines that a task meets again are dropped before the shuffle by the partial aggregate
+    out = each.groupBy("sig").agg(F.min("place").alias("place"), F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("n", "bits", "lo", "hi", "prefix")))
+    return out.select("sig", "place.doc", "place.text_key", "place.line", "copies", "n", "bits", "lo", "hi", "prefix")
+
+
+def verify(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Of pairs a, b (distinct sets), those that match: a, b, n_b, d (the tokens that only one has)."""
+    named = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
+    one = found.select("sig", "n", "toks").join(_held(materialise(named, "line-named")), "sig", "left_semi")
+    one = one.groupBy("sig").agg(F.first("n").alias("n"), F.first("toks").alias("toks"))
+    sets = materialise(one.select("sig", "n", "toks", *(w.alias(f"w{k}") for k, w in enumerate(_wide(F.col("toks"))))), "line-sets")
+    side = lambda x, *cols: sets.select(F.col("sig").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in cols))
+    wide = [f"w{k}" for k in range(WORDS)]
+    close = pairs.join(side("a", "n", *wide), "a").join(side("b", "n", *wide), "b")
+    apart = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in wide[1:]), F.bit_count(F.col(f"{wide[0]}_a").bitwiseXOR(F.col(f"{wide[0]}_b"))))
+    close = materialise(close.where(apart <= _limit(F.col("n_a"), F.col("n_b"))).select("a", "b", "n_a", "n_b"), "line-close")
+    both = close.join(side("a", "toks"), "a").join(side("b", "toks"), "b")
+    far = F.col("n_a") + F.col("n_b") - 2 * F.size(F.array_intersect("toks_a", "toks_b"))
+    return both.select("a", "b", "n_a", "n_b", far.alias("d")).where(F.col("d") <= _limit(F.col("n_a"), F.col("n_b"))).select("a", "b", "n_b", "d")
+
+
+def stars(own: DataFrame, found: DataFrame) -> DataFrame:
+    """a, b, n_b, d, doc, text_key, line (a's): b matches a, the earliest node under one of its two keys."""
+    keyed = own.where(F.col("n") >= SHORT).select("sig", "n", "bits", _place().alias("place"), F.explode(F.array("lo", F.bitwise_not("hi"))).alias("key"))
+    first = keyed.groupBy("key").agg(F.min(F.struct("place", "sig", "n", "bits")).alias("c"), F.count("*").alias("met")).where("met > 1")
+    first = first.select("key", F.col("c.sig").alias("a"), F.col("c.n").alias("n_a"), F.col("c.bits").alias("bits_a"), F.col("c.place").alias("place_a"))
+    met = keyed.join(first, "key").where((F.col("sig") != F.col("a")) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("bits_a"))) <= _limit(F.col("n"), F.col("n_a"))))
+    pairs = materialise(met.groupBy("a", F.col("sig").alias("b")).agg(F.first("place_a").alias("p")), "line-stars")
+    good = verify(pairs.select("a", "b"), found)
+    return materialise(good.join(pairs, ["a", "b"]).select("a", "b", "n_b", "d", "p.doc", "p.text_key", "p.line"), "line-near")
+
+
+def homes(near: DataFrame) -> DataFrame:
+    """sig, home, g: each node of a verified star with the earliest it was verified with; g = 9 d - n."""
+    best = near.groupBy(F.col("b").alias("sig")).agg(F.min(F.struct(_place().alias("place"), F.col("a").alias("home"), "d", "n_b")).alias("s"))
+    return best.select("sig", "s.home", ((_NUM + _DEN) * F.col("s.d") - F.col("s.n_b")).alias("g"))
+
+
+def sure(members: DataFrame) -> DataFrame:
+    """sig, n: how many others of its home each member matches by the triangle inequality alone."""
+    cells = members.groupBy("home", "g").agg(F.count("*").alias("many"))
+    asked = cells.select("home", F.col("g").alias("g"), (-F.col("g")).alias("spot"), F.lit(1).alias("ask"), F.lit(0).cast("long").alias("many"))
+    points = cells.select("home", "g", F.col("g").alias("spot"), F.lit(0).alias("ask"), "many")
+    # a home has as many cells as values of g: few hundred, whatever its members
+    upto = Window.partitionBy("home").orderBy("spot", "ask").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    told = asked.unionByName(points).withColumn("upto", F.sum("many").over(upto)).where("ask = 1")
+    told = told.select("home", "g", (F.col("upto") - F.when(F.col("g") <= 0, 1).otherwise(0)).alias("sure")).where("sure > 0")
+    return members.join(told, ["home", "g"]).select("sig", F.col("sure").alias("n"))
+
+
+def candidates(own: DataFrame, count: bool) -> DataFrame:
+    """a, b (a the earlier): nodes that share a prefix token, pass the filters, and aren't settled by the stars."""
+    rows = own.where(F.col("n") >= SHORT).select("sig", "doc", "text_key", "line", "n", "bits", *(("home", "g") if count else ("late",)), "prefix", F.posexplode("prefix").alias("at", "key"))
+    rows = rows.withColumn("before", F.when(F.col("at") > 0, F.get("prefix", F.col("at") - 1))).drop("prefix")
+    side = lambda x: rows.select("key", *(F.col(c).alias(f"{c}_{x}") for c in rows.columns if c != "key"))
     na, nb, ia, ib = (F.col(c) for c in ("n_a", "n_b", "at_a", "at_b"))
-    need = F.ceil((na + nb) * _NUM / F.lit(_NUM + _DEN))
-    # the shared token and what follows it; tokens before it that both share count at most as many as the lesser place
-    follow = F.least(ia, ib) + F.least(na - ia, nb - ib)
-    near = (F.col("row_a") < F.col("row_b")) & (na * _DEN >= nb * _NUM) & (nb * _DEN >= na * _NUM)
-    near = near & ((F.least(na, nb) < SHORT) | (follow >= need) & (F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= na + nb - 2 * need))
+    limit = _limit(na, nb)
+    open_ = (F.col("home_a") != F.col("home_b")) | (F.col("g_a") + F.col("g_b") > 0) if count else ~F.col("late_b")
+    # at most `limit` tokens are in one set only: of those before the shared token, the places differ by no more
+    near = open_ & (F.abs(na - nb) <= limit) & (F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= limit)
+    near = near & (F.abs(ia - ib) + F.abs((na - ia) - (nb - ib)) <= limit)
     # where the tokens before are shared too, the pair has come by them
-    near = near & ~F.coalesce(F.col("before_a") == F.col("before_b"), F.lit(False))
-    met = left.join(right, "key").where(near).select(F.col("row_a").alias("a"), F.col("row_b").alias("b")).distinct()
-    pairs = materialise(met, "line-pairs")
-    named = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct().join(first.select("row", "lid"), "row").select("row", "lid")
-    named = materialise(named, "line-named")
-    few = named.count() <= BROADCAST_LINES
-    texts = lines(docs).select("lid", "line").join(F.broadcast(named) if few else named, "lid").groupBy("row").agg(F.first("line").alias("line"))
-    sets = texts.select("row", tokens(F.col("line"), ranks).alias("toks"))
-    sets = materialise(sets.select("row", "toks", F.size("toks").alias("n"), _wide(F.col("toks")).alias("wide")), "line-sets")
-    side = lambda x, *cols: sets.select(F.col("row").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in cols))
-
-    def verify(some: DataFrame) -> DataFrame:
-        close = some.join(side("a", "n", "wide"), "a").join(side("b", "n", "wide"), "b")
-        close = close.where(_apart(F.col("wide_a"), F.col("wide_b")) <= F.col("n_a") + F.col("n_b") - 2 * F.ceil((F.col("n_a") + F.col("n_b")) * _NUM / F.lit(_NUM + _DEN)))
-        both = materialise(close.select("a", "b"), "line-close").join(side("a", "toks"), "a").join(side("b", "toks"), "b")
-        shared = F.size(F.array_intersect("toks_a", "toks_b"))
-        return both.withColumn("shared", shared).where(F.col("shared") * _DEN >= (F.size("toks_a") + F.size("toks_b") - F.col("shared")) * _NUM).select("a", "b")
-
-    if every:
-        return verify(pairs)
-    proven = materialise(verify(pairs.groupBy("b").agg(F.min("a").alias("a"))), "line-proven")
-    return proven.unionByName(verify(pairs.join(proven.select("b"), "b", "left_anti")))
-
-
-def judge_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", count: bool = True, by_row: bool = False) -> DataFrame:
-    """A row for each line with a word: doc_id, line_no, first_doc and first_line (the earliest equal line, which
-    names the line's class), n_links (classes that match it; null without count) and removed. With by_row, also
-    text_key (the text's hash), which tells rows of one doc_id apart and orders them."""
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    ranks = rarity(own)
-    named = ["text_key"] if by_row else []
-    found = lines(own.withColumn("text_key", F.xxhash64("text")) if by_row else own, keep=named)
-    toks = tokens(F.col("line"), ranks)
-    n = F.size("toks")
-    keys = F.when(n < SHORT, F.array(F.xxhash64("toks"))).otherwise(F.slice("toks", F.lit(1), _prefix(n).cast("int")))
-    place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc"), *named, F.col("line_no").alias("line"))
-    # lines that a task meets again are dropped before the shuffle by the partial aggregate
-    first = found.select("lid", place.alias("place"), toks.alias("toks")).select("lid", "place", n.alias("n"), _bits(F.col("toks")).alias("bits"), keys.alias("keys"))
-    first = first.groupBy("lid").agg(F.min("place").alias("place"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
-    # in order of place, so of two rows the lesser number is the earlier line; written once, so the numbers hold from here on
-    first = materialise(first.sort("place", "lid").withColumn("row", F.monotonically_increasing_id()), "line-first")
-    pairs = materialise(matches(own, first, ranks, count), "line-matches")
-    ends = pairs.select(F.col("b").alias("row"), F.lit(True).alias("late"))
+    near = near & ~F.coalesce(F.col("before_a") == F.col("before_b"), F.lit(False)) & (_place("_a") < _place("_b"))
+    return side("a").join(side("b"), "key").where(near).select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b")).distinct()
+
+
+def classes(found: DataFrame, count: bool) -> DataFrame:
+    """sig, doc, text_key, line (the earliest line of the set), copies, n_links (0 without count) and late, for the sets
+    that have a copy, a link or go."""
+    own = materialise(nodes(found, rarity(found)), "line-nodes")
+    near = stars(own, found)
+    if count:
+        away = materialise(homes(near), "line-homes")
+        centres = away.select(F.col("home").alias("sig")).distinct().join(away, "sig", "left_anti").join(own.select("sig", "n"), "sig")
+        members = materialise(away.unionByName(centres.select("sig", F.col("sig").alias("home"), (-F.col("n")).alias("g"))), "line-members")
+        marked = own.join(_held(members), "sig", "left").withColumns({"home": F.coalesce("home", "sig"), "g": F.coalesce("g", -F.col("n"))})
+    else:
+        late = materialise(near.select(F.col("b").alias("sig"), F.lit(True).alias("late")).distinct(), "line-late")
+        marked = own.join(_held(late), "sig", "left").withColumn("late", F.coalesce("late", F.lit(False)))
+    pairs = materialise(candidates(marked, count), "line-pairs")
+    more = materialise(verify(pairs, found).select("a", "b"), "line-links")
+    ends = near.select(F.col("b").alias("sig"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("late"))
+    ends = ends.unionByName(more.select(F.col("b").alias("sig"), F.lit(1).cast("long").alias("n_links"), F.lit(True).alias("late")))
     if count:
-        ends = ends.unionByName(pairs.select(F.col("a").alias("row"), F.lit(False).alias("late")))
-    linked = ends.groupBy("row").agg(F.count("*").alias("n_links"), F.max("late").alias("late"))
-    classes = materialise(first.select("row", "lid", "place").join(linked, "row", "left").select("lid", "place", (F.coalesce("n_links", F.lit(0)) if count else F.lit(None).cast("long")).alias("n_links"), F.coalesce("late", F.lit(False)).alias("late")), "line-classes")
-    out = found.select("doc_id", *named, "line_no", "lid").join(classes, "lid")
-    here = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc"), *named, F.col("line_no").alias("line"))
-    return out.select("doc_id", *named, "line_no", F.col("place.doc").alias("first_doc"), F.col("place.line").alias("first_line"), "n_links", (F.col("late") | (here > F.col("place"))).alias("removed"))
+        ends = ends.unionByName(more.select(F.col("a").alias("sig"), F.lit(1).cast("long").alias("n_links"), F.lit(False).alias("late")))
+        ends = ends.unionByName(sure(members).select("sig", F.col("n").alias("n_links"), F.lit(False).alias("late")))
+    linked = ends.groupBy("sig").agg(F.sum("n_links").alias("n_links"), F.max("late").alias("late"))
+    out = own.select("sig", "doc", "text_key", "line", "copies").join(linked, "sig", "left")
+    return out.select("sig", "doc", "text_key", "line", "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("late", F.lit(False)).alias("late")).where("copies > 1 OR n_links > 0 OR late")
+
+
+def judge_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """A row for each line with a word: doc_id, line_no, first_doc and first_line (the earliest line of an equal set, which
+    names the line's class), n_links (classes that match its class) and removed."""
+    with discarding(docs.sparkSession):
+        found = materialise(lines(docs, doc_id, text, False), "line-tokens")
+        told = materialise(classes(found, True).drop("text_key").withColumnsRenamed({"doc": "first_doc", "line": "first_line"}), "line-classes", keep=True)
+        each = materialise(found.select("doc", "line", "sig"), "line-places", keep=True)
+    out = each.join(told, "sig", "left")
+    # lines of other sets are classes of their own
+    alone = F.col("copies").isNull()
+    first_doc, first_line = F.when(alone, F.col("doc")).otherwise(F.col("first_doc")), F.when(alone, F.col("line")).otherwise(F.col("first_line"))
+    later = F.struct(F.col("doc").isNull(), F.col("doc"), F.col("line")) > F.struct(F.col("first_doc").isNull(), F.col("first_doc"), F.col("first_line"))
+    removed = ~alone & (F.col("late") | later)
+    return out.select(F.col("doc").alias("doc_id"), F.col("line").alias("line_no"), first_doc.alias("first_doc"), first_line.alias("first_line"), F.coalesce("n_links", F.lit(0)).alias("n_links"), removed.alias("removed"))
+
+
+def removed_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc, text_key, gone (array<int>): the numbers of the lines that go, for the rows (named by id and text hash) that lose some."""
+    with discarding(docs.sparkSession):
+        found = materialise(lines(docs, doc_id, text, True), "line-tokens")
+        told = classes(found, False).select("sig", "late", *(F.col(c).alias(f"{c}_first") for c in ("doc", "text_key", "line")))
+        lost = found.select("doc", "text_key", "line", "sig").join(told, "sig").where(F.col("late") | (_place() > _place("_first")))
+        return materialise(lost.groupBy("doc", "text_key").agg(F.collect_set("line").alias("gone")), "line-gone", keep=True)
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with removed lines cut from their texts; documents that lose all their lines with words go."""
-    keyed = docs.withColumn("line_dedup_key", F.xxhash64(text))
+    key, own_id, own_key, gone, cut = (free(docs, f"line_dedup_{x}") for x in ("key", "id", "text_key", "gone", "text"))
+    keyed = docs.withColumn(key, F.xxhash64(text))
     worded = F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(ASCII_SPACE)) != ""
-    keyed = single(keyed, [doc_id, "line_dedup_key"], worded)
-    gone = judge_lines(keyed, doc_id, text, count=False, by_row=True).where("removed").groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("line_dedup_gone"))
-    gone = materialise(gone, "line-gone").withColumnsRenamed({"doc_id": "line_dedup_id", "text_key": "line_dedup_text_key"})
-    kept = keyed.join(gone, F.col(doc_id).eqNullSafe(F.col("line_dedup_id")) & (F.col("line_dedup_key") == F.col("line_dedup_text_key")), "left")
-    left = F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains("line_dedup_gone", i))
-    kept = kept.withColumn("line_dedup_text", F.when(F.col("line_dedup_gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
-    kept = kept.where(F.col("line_dedup_gone").isNull() | (F.btrim("line_dedup_text", F.lit(ASCII_SPACE)) != ""))
-    return kept.select(*(F.col("line_dedup_text").alias(c) if c == text else F.col(c) for c in docs.columns))
+    keyed = single(keyed, [doc_id, key], worded)
+    lost = removed_lines(keyed, doc_id, text).withColumnsRenamed({"doc": own_id, "text_key": own_key, "gone": gone})
+    kept = keyed.join(lost, F.col(doc_id).eqNullSafe(F.col(own_id)) & (F.col(key) == F.col(own_key)), "left")
+    left = F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(gone, i))
+    kept = kept.withColumn(cut, F.when(F.col(gone).isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
+    kept = kept.where(F.col(gone).isNull() | (F.btrim(cut, F.lit(ASCII_SPACE)) != ""))
+    return kept.select(*(F.col(cut).alias(c) if c == text else F.col(c) for c in docs.columns))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -147,24 +147,55 @@ def test_licenses():
     assert "apache-2,mit" == scan(b"# SPDX-License-Identifier: MIT OR Apache-2.0\n")[5]
 
 
-def test_lines_against_brute_force(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(80)
-    got = {(r["doc_id"], r["line_no"]): (r["first_doc"], r["first_line"], r["n_links"], r["removed"]) for r in line_dedup.judge_lines(docs).collect()}
-    quick = {(r["doc_id"], r["line_no"]): r["removed"] for r in line_dedup.judge_lines(docs, count=False).collect()}
-    assert quick == {k: v[3] for k, v in got.items()}
-    rows = [(r["doc_id"], i, line, frozenset(line.lower().split())) for r in sorted(docs.collect()) for i, line in enumerate((r["text"] or "").split("\n")) if line.split()]
-    classes = {}
-    for d, i, line, w in rows:
-        classes.setdefault(line, [(d, i), w, []])
-    names = list(classes)
-    for i, x in enumerate(names):
-        for y in names[i + 1 :]:
-            a, b = classes[x][1], classes[y][1]
+def judged_by_hand(rows):
+    """(doc, line_no) -> first line of an equal set, how many other sets match, whether it goes; rows: (doc, text)."""
+    order = lambda place: (place[0] is None, place[0] or 0, place[1])
+    places = {}
+    for d, text in rows:
+        for i, line in enumerate((text or "").split("\n")):
+            if line.split():
+                places.setdefault((d, i), []).append(frozenset(line.lower().split()))
+    first = {}
+    for place in sorted(places, key=order):
+        for w in places[place]:
+            first.setdefault(w, place)
+    sets, links = list(first), {w: [] for w in first}
+    for i, a in enumerate(sets):
+        for b in sets[i + 1 :]:
             if 5 * len(a & b) >= 4 * len(a | b):
-                classes[x][2].append(y)
-                classes[y][2].append(x)
-    want = {(d, i): (*classes[line][0], len(classes[line][2]), (d, i) > classes[line][0] or any(classes[y][0] < classes[line][0] for y in classes[line][2])) for d, i, line, _ in rows}
+                links[a].append(b)
+                links[b].append(a)
+    gone = lambda place, w: order(place) > order(first[w]) or any(order(first[x]) < order(first[w]) for x in links[w])
+    return sorted((order(p), order(first[w]), len(links[w]), gone(p, w)) for p, all_ in places.items() for w in all_)
+
+
+def near_group(rng, size, words, edits):
+    """Copies of one line of so many words, with up to so many edits each (a word changed, left out or put in)."""
+    base, out = [f"v{rng.integers(400)}" for _ in range(words)], []
+    for _ in range(size):
+        w = list(base)
+        for _ in range(rng.integers(edits + 1)):
+            at = int(rng.integers(len(w)))
+            w[at : at + int(rng.integers(2))] = [f"v{rng.integers(400)}"] * int(rng.integers(2))
+        out.append(" ".join(w))
+    return out
+
+
+def test_lines_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
+    for words, edits in ((5, 1), (9, 2), (14, 3), (30, 5), (60, 9)):
+        some = near_group(rng, 60, words, edits)
+        rows += [(10_000 + int(rng.integers(5000)), "\n".join(some[k : k + 3])) for k in range(0, 60, 3)]
+    rows += [(None, "a null id\n\nof three lines and some words\n \n"), (None, None), (20_000, ""), (20_001, "One two three four five"), (20_002, "FIVE four three two one\none two three four")]
+    rows = list({d: (d, t) for d, t in rows}.values())
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    order = lambda d, i: (d is None, d or 0, i)
+    got = sorted((order(r["doc_id"], r["line_no"]), order(r["first_doc"], r["first_line"]), r["n_links"], r["removed"]) for r in line_dedup.judge_lines(docs).collect())
+    want = judged_by_hand(rows)
     assert got == want
+    gone = sorted(order(r["doc"], i) for r in line_dedup.removed_lines(docs, "doc_id", "text").collect() for i in r["gone"])
+    assert gone == [p for p, _, _, late in want if late]
 
 
 def test_mix_totals(spark, edge):
