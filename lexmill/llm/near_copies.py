@@ -1,17 +1,20 @@
-"""Near copies: an exact set-similarity join of documents on five-word shingles, after which one of each group stays.
+"""Near copies: documents linked by similarity of their five-word shingles, of which one of each group stays.
 
 A document's set is its distinct shingles of SHINGLE words in lower case (a shorter text is one shingle). Two documents
 are linked if their sets' Jaccard similarity is at least THRESHOLD; a group is a component of links. Documents of equal
-sets are one node before the join. Shingles are ordered by rarity: by how many documents their bucket (2^20 buckets)
-has, then by hash. A document's prefix are its first n - ceil(t n) + 1 shingles; linked documents share one, so no link
-is missed.
-
-Links are found in two steps. In the first each prefix shingle's documents are compared with one of them, which
-costs a group what its documents do. In the second all pairs under a shingle that are in different components are
-compared, which finds what the first has left, so groups come out as from all pairs. Pairs have to pass the length and
-positional filters and a comparison of parities, which bound their difference from below; then the whole sets decide.
-
-Defined results: shingles are told apart by 56 bits of hash; texts without words have one set, and link with each other.
+sets are one node before the join.
+
+Links are found in two steps. The first is SimHash with Golay keys (simhash.keys) on a fingerprint of the set: under each
+key, and under the two least and the two greatest hashes of the set, nodes are compared with the earliest one there,
+which costs a group what its documents do. Fingerprints of 64 bits reach a similarity of 0.8 in few cases (about ten bits
+differ), so a second step compares what is still in different components: pairs that share a shingle of their prefix,
+the first n - ceil(t n) + 1 by rarity (by how many documents the shingle's bucket has, then by hash). Linked documents
+share one, so no link is missed, and groups come out as from all pairs. Pairs have to pass the length and positional filters
+and a comparison of parities, which bound their difference from below; then the whole sets decide.
+
+Defined results: shingles are told apart by 56 bits of hash; texts without words have one set, and link with each other;
+exactly one row of a group stays, also under null ids and repeated rows; an empty table stays empty; other columns pass
+through.
 """
 
 from __future__ import annotations
@@ -24,12 +27,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import materialise, single
-from lexmill.llm.simhash import components
+from lexmill.llm.common import discarding, materialise, single
+from lexmill.llm.simhash import components, keys
 
 SHINGLE = 5
 _NUM, _DEN = 4, 5  # the threshold, Jaccard 0.8, as a fraction: filters in whole numbers
-BUCKETS = 1 << 20
+BUCKETS = 1 << 18
 #: 64-bit words of a set's parity.
 WORDS = 4
 #: Up to so many documents are broadcast to pick the texts that need verifying; more are joined by shuffle.
@@ -83,24 +86,38 @@ def rarity(docs: DataFrame) -> np.ndarray:
     return out
 
 
+def star_keys(hashes: np.ndarray) -> np.ndarray:
+    """Golay keys of the set's SimHash fingerprint, and the two least and two greatest hashes; those are told from keys by their sign."""
+    ones = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), 1 << 14):
+        ones += np.unpackbits(hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    print_ = np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")
+    ends = np.concatenate((hashes[:2], hashes[-2:])).view(np.int64) | np.int64(-1 << 63)
+    return np.unique(np.concatenate((keys(print_)[1], ends)))
+
+
 def sketches(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
-    """doc_id, copy_text, sig (names the set), n, wide (parities) and prefix of each document."""
+    """doc_id, copy_text, sig (names the set), n, wide (parities), stars (keys) and prefix of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sig, size, wide, prefix = [], [], [], []
-            for x in batch.column(2).to_pylist():
-                toks = places(shingles(x or b""), ranks)
-                n = len(toks)
-                sig.append(xxhash.xxh64_intdigest(toks.tobytes()))
-                size.append(n)
-                wide.append(np.packbits(np.bincount(toks & (64 * WORDS - 1), minlength=64 * WORDS).astype(np.uint8) & 1, bitorder="little").view("<i8"))
-                prefix.append(toks[: n + (-n * _NUM // _DEN) + 1])
-            cols = [pa.array(np.asarray(sig, dtype=np.uint64).view(np.int64)), pa.array(size, pa.int32()), _lists(wide), _lists(prefix)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["doc_id", "copy_text", "sig", "n", "wide", "prefix"])
+        for big in batches:
+            for at in range(0, big.num_rows, 512):
+                batch = big.slice(at, 512)
+                sig, size, wide, stars, prefix = [], [], [], [], []
+                for x in batch.column(2).to_pylist():
+                    hashes = shingles(x or b"")
+                    toks = places(hashes, ranks)
+                    n = len(toks)
+                    sig.append(xxhash.xxh64_intdigest(toks.tobytes()))
+                    size.append(n)
+                    wide.append(np.packbits(np.bincount(toks & (64 * WORDS - 1), minlength=64 * WORDS).astype(np.uint8) & 1, bitorder="little").view("<i8"))
+                    stars.append(star_keys(hashes))
+                    prefix.append(toks[: n + (-n * _NUM // _DEN) + 1])
+                cols = [pa.array(np.asarray(sig, dtype=np.uint64).view(np.int64)), pa.array(size, pa.int32()), _lists(wide), _lists(stars), _lists(prefix)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["doc_id", "copy_text", "sig", "n", "wide", "stars", "prefix"])
 
     own = docs.select("doc_id", "copy_text", F.col("text").cast("binary").alias("raw"))
-    return own.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, copy_text long, sig long, n int, wide array<long>, prefix array<long>")
+    return own.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, copy_text long, sig long, n int, wide array<long>, stars array<long>, prefix array<long>")
 
 
 def sets(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, ranks: np.ndarray) -> DataFrame:
@@ -108,26 +125,31 @@ def sets(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, ranks: np.ndarr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.column(1).to_pylist()
-            for k in range(0, len(rows), 256):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 256), _lists([places(shingles(x or b""), ranks) for x in rows[k : k + 256]])], names=["sig", "toks"])
+            for k in range(0, batch.num_rows, 256):
+                some = batch.slice(k, 256)
+                yield pa.RecordBatch.from_arrays([some.column(0), _lists([places(shingles(x or b""), ranks) for x in some.column(1).to_pylist()])], names=["sig", "toks"])
 
     named = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct().join(distinct, "sig")
     named = materialise(named.select("sig", F.col("least.doc_id").alias("own_id"), F.col("least.copy_text").alias("own_text")), "copies-named")
     few = named.count() <= BROADCAST_DOCS
-    texts = docs.join(F.broadcast(named) if few else named, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("copy_text") == F.col("own_text")))
-    one = texts.groupBy("sig").agg(F.first("text").alias("text"))
-    return materialise(one.select("sig", F.col("text").cast("binary").alias("raw")).mapInArrow(run, "sig long, toks array<long>"), "copies-sets")
+    texts = docs.select("doc_id", "copy_text", "text").join(F.broadcast(named) if few else named, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("copy_text") == F.col("own_text")))
+    one = texts.groupBy("sig").agg(F.first("text").alias("text")) if not few else texts
+    made = one.select("sig", F.col("text").cast("binary").alias("raw")).mapInArrow(run, "sig long, toks array<long>")
+    return materialise(made.dropDuplicates(["sig"]) if few else made, "copies-sets")
 
 
 def _need(na: Column, nb: Column) -> Column:
     return F.ceil((na + nb) * _NUM / F.lit(_NUM + _DEN))
 
 
+def _sizes() -> Column:
+    return (F.col("n_a") * _DEN >= F.col("n_b") * _NUM) & (F.col("n_b") * _DEN >= F.col("n_a") * _NUM)
+
+
 def _near() -> Column:
     na, nb, ia, ib = (F.col(c) for c in ("n_a", "n_b", "at_a", "at_b"))
     follow = F.least(ia, ib) + F.least(na - ia, nb - ib)
-    return (na * _DEN >= nb * _NUM) & (nb * _DEN >= na * _NUM) & (follow >= _need(na, nb))
+    return _sizes() & (follow >= _need(na, nb))
 
 
 def verify(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, ranks: np.ndarray) -> DataFrame:
@@ -145,45 +167,56 @@ def verify(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, ranks: np.nda
 
 def groups(docs: DataFrame, distinct: DataFrame, ranks: np.ndarray) -> DataFrame:
     """node, root for the nodes that have a link."""
-    keyed = distinct.select("sig", "n", "prefix", F.posexplode("prefix").alias("at", "key"))
-    keyed = keyed.select("key", "sig", "n", "at", F.when(F.col("at") > 0, F.get("prefix", F.col("at") - 1)).alias("before"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("met")).where("met > 1").select("key")
-    hot = materialise(keyed.join(shared, "key", "left_semi"), "copies-keys")
-    # the first step: each key's documents with one of them
-    one = hot.groupBy("key").agg(F.min(F.struct(F.xxhash64("sig").alias("h"), "sig", "n", "at")).alias("s"))
-    one = one.select("key", F.col("s.sig").alias("sig_a"), F.col("s.n").alias("n_a"), F.col("s.at").alias("at_a"))
-    right = hot.select("key", *(F.col(c).alias(f"{c}_b") for c in ("sig", "n", "at", "before")))
+    place = F.struct("least.last", "least.doc_id", "least.copy_text")
+    keyed = distinct.select("sig", "n", place.alias("place"), F.explode("stars").alias("key"))
     ends = [F.least("sig_a", "sig_b").alias("a"), F.greatest("sig_a", "sig_b").alias("b")]
-    tried = materialise(right.join(one, "key").where("sig_a <> sig_b").where(_near()).select(*ends).distinct(), "copies-first")
+    # the first step: each key's nodes with the earliest of them
+    one = keyed.groupBy("key").agg(F.min(F.struct("place", "sig", "n")).alias("s"), F.count("*").alias("met")).where("met > 1")
+    one = one.select("key", F.col("s.sig").alias("sig_a"), F.col("s.n").alias("n_a"))
+    met = keyed.select("key", F.col("sig").alias("sig_b"), F.col("n").alias("n_b")).join(one, "key").where("sig_a <> sig_b").where(_sizes())
+    tried = materialise(met.select(*ends).distinct(), "copies-first")
     first = verify(docs, distinct, tried, ranks)
     roots = materialise(components(first), "copies-roots")
     # the second: what is still apart
-    hot = hot.join(roots, hot["sig"] == roots["node"], "left").select("key", "sig", "n", "at", "before", F.coalesce("root", "sig").alias("root"))
-    mixed = hot.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("m")).where("l <> m").select("key")
-    hot = materialise(hot.join(mixed, "key", "left_semi"), "copies-apart")
-    sides = [hot.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("sig", "n", "at", "before", "root"))) for x in "ab"]
+    few = roots.count() <= BROADCAST_DOCS
+    rooted = distinct.join(F.broadcast(roots) if few else roots, distinct["sig"] == roots["node"], "left")
+    bits = F.get("wide", F.lit(0)).bitwiseXOR(F.get("wide", F.lit(1))).bitwiseXOR(F.get("wide", F.lit(2))).bitwiseXOR(F.get("wide", F.lit(3)))
+    open_ = rooted.select("sig", "n", F.coalesce("root", "sig").alias("root"), bits.alias("bits"), "prefix", F.posexplode("prefix").alias("at", "key"))
+    open_ = open_.select("key", "sig", "n", "root", "bits", "at", F.when(F.col("at") > 0, F.get("prefix", F.col("at") - 1)).alias("before"))
+    sides = [open_.select("key", *(F.col(c).alias(f"{c}_{x}") for c in open_.columns if c != "key")) for x in "ab"]
     pairs = sides[0].join(sides[1], "key").where("sig_a < sig_b and root_a <> root_b").where(_near())
+    pairs = pairs.where(F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= F.col("n_a") + F.col("n_b") - 2 * _need(F.col("n_a"), F.col("n_b")))
     # where the shingles before are shared too, the pair has come by them
-    pairs = pairs.where(~F.coalesce(F.col("before_a") == F.col("before_b"), F.lit(False))).select(*ends).distinct()
+    pairs = materialise(pairs.where(~F.coalesce(F.col("before_a") == F.col("before_b"), F.lit(False))).select(*ends).distinct(), "copies-second")
     second = verify(docs, distinct, pairs.join(tried, ["a", "b"], "left_anti"), ranks)
     return roots if second.isEmpty() else components(first.unionByName(second))
 
 
+def goers(docs: DataFrame) -> DataFrame:
+    """goes_id, goes_text: id and text hash of the rows (doc_id, text, copy_text) that don't stay."""
+    with discarding(docs.sparkSession):
+        ranks = rarity(docs)
+        with discarding(docs.sparkSession):
+            found = materialise(sketches(docs, ranks), "copies")
+            # of the same sets, nodes; a document without an id stands for one only where none has an id
+            place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "copy_text")
+            one = found.groupBy("sig").agg(F.min(place).alias("least"), *(F.first(c).alias(c) for c in ("n", "wide", "stars", "prefix")))
+            distinct = materialise(one, "copies-distinct", keep=True)
+            found = materialise(found.select("doc_id", "copy_text", "sig"), "copies-found", keep=True)
+        with discarding(docs.sparkSession):
+            roots = materialise(groups(docs, distinct, ranks), "copies-groups", keep=True)
+        grouped = distinct.select("sig", "least").join(roots, F.col("sig") == F.col("node"), "left").select("sig", "least", F.coalesce("root", "sig").alias("root"))
+        named = grouped.groupBy("root").agg(F.min("least").alias("stays"))
+        named = materialise(grouped.select("sig", "root").join(named, "root").select("sig", "stays"), "copies-stay")
+        stays = F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("copy_text") == F.col("stays.copy_text"))
+        goes = found.join(named, "sig").where(~stays)
+        return materialise(goes.select(F.col("doc_id").alias("goes_id"), F.col("copy_text").alias("goes_text")).distinct(), "copies-goes", keep=True)
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exactly one row of each group stays: that of the least id (null ids last), then of the least text hash; of rows
     that share both, one."""
     marked = docs.withColumn("copy_text", F.xxhash64("text"))
-    ranks = rarity(docs)
-    found = materialise(sketches(marked, ranks), "copies")
-    # of the same sets, nodes; a document without an id stands for one only where none has an id
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "copy_text")
-    distinct = materialise(found.groupBy("sig").agg(F.min(place).alias("least"), F.first("n").alias("n"), F.first("wide").alias("wide"), F.first("prefix").alias("prefix")), "copies-distinct")
-    roots = groups(marked, distinct, ranks)
-    grouped = distinct.join(roots, distinct["sig"] == roots["node"], "left").select("sig", "least", F.coalesce("root", "sig").alias("root"))
-    named = grouped.groupBy("root").agg(F.min("least").alias("stays"))
-    named = materialise(grouped.select("sig", "root").join(named, "root").select("sig", "stays"), "copies-stay")
-    stays = F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("copy_text") == F.col("stays.copy_text"))
-    goes = found.select("doc_id", "copy_text", "sig").join(named, "sig").where(~stays)
-    goes = goes.select(F.col("doc_id").alias("goes_id"), F.col("copy_text").alias("goes_text")).distinct()
+    goes = goers(marked.select("doc_id", "text", "copy_text"))
     left = marked.join(goes, F.col("doc_id").eqNullSafe(F.col("goes_id")) & (F.col("copy_text") == F.col("goes_text")), "left_anti")
     return single(left, ["doc_id", "copy_text"]).select(*docs.columns)
