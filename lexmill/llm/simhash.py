@@ -6,15 +6,18 @@ decoded to the indices of the Golay codewords within distance 4 of it: one if it
 else six; any two words within distance 2 share one. So the keys are (i, segment i, an index of segment i + 1):
 16 on average, 33 bits wide, and every link has a shared key.
 
-Keys are counted with map-side aggregation, over distinct fingerprints. A key of two fingerprints is a pair, to
-be verified. Fingerprints under keys of more are joined through their neighbourhoods instead: the 65 words at
-distance 0 or 1. Two fingerprints are within 2 of each other just if they share such a word, and at most 65
+Keys, of any size, are joined over distinct fingerprints: each fingerprint is verified against the least one under
+each of its keys. That settles keys of two, and groups around their least fingerprint, in rows as many as keys. Where
+more fingerprints of a key are still in different components, these alone are joined through their neighbourhoods: the 65
+words at distance 0 or 1. Two fingerprints are within 2 of each other just if they share such a word, and at most 65
 can; so the work is linear, whatever a key's or a group's size, and no pairs of a group are spelt out.
 
-Components come from alternating large-star and small-star rounds; each round is written to the shared folder.
+Components come from alternating large-star and small-star rounds, until nothing changes; each round is written to the
+shared folder.
 
 Defined results: texts without words have fingerprint zero, and link like any other; null ids never name a
-component (a component of null ids alone has null); repeated rows get equal results; other columns are kept.
+component (a component of null ids alone has null); repeated rows get equal results; an empty table gives an empty one;
+very long texts are hashed whole; other columns are kept, and a new column whose name is taken gets "_" put behind it.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import materialise, table
+from lexmill.llm.common import discarding, free, materialise, table
 
 SHINGLE = 3
 SEED = 42
@@ -57,13 +60,13 @@ def fingerprint(raw: bytes, size: int = SHINGLE) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = np.fromiter((fingerprint(x or b"") for x in batch.column(0).to_pylist()), dtype=np.uint64, count=batch.num_rows)
-        yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64)), *batch.columns[1:]], names=["fp", *batch.schema.names[1:]])
+        yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64)), *batch.columns[1:]], names=["simhash_fp", *batch.schema.names[1:]])
 
 
 def fingerprints(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """fp (long) and the kept columns."""
+    """simhash_fp (long) and the kept columns."""
     own = docs.select(F.col(text).cast("binary").alias("simhash_raw"), *keep)
-    schema = ", ".join(["fp long", *(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[1:])])
+    schema = ", ".join(["simhash_fp long", *(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[1:])])
     return own.mapInArrow(_fingerprints, schema)
 
 
@@ -130,48 +133,61 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def links(distinct: DataFrame) -> DataFrame:
     """a < b: verified links between distinct fingerprints that connect just what links within RADIUS connect."""
     keyed = distinct.select("fp").mapInArrow(_keyed, "key long, fp long")
-    shared = materialise(keyed.groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("b"), F.count("*").alias("n")).where("n > 1"), "simhash-keys")
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
-    pairs = shared.where("n = 2").where(near).select("a", "b")
-    many = keyed.join(shared.where("n > 2").select("key"), "key", "left_semi").select("fp").distinct()
+    stars = materialise(keyed.groupBy("key").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1"), "simhash-keys")
+    met = materialise(keyed.join(stars, "key"), "simhash-met")
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("fp"))) <= RADIUS
+    first = materialise(met.where("a <> fp").where(near).select("a", F.col("fp").alias("b")).distinct(), "simhash-stars")
+    roots = components(first)
+    many = met.where("n > 2").select("key", "fp").join(roots, F.col("fp") == F.col("node"), "left").select("key", "fp", F.coalesce("root", "fp").alias("root"))
+    apart = many.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("m")).where("l <> m").select("key")
+    rest = many.join(apart, "key", "left_semi").select("fp").distinct()
     steps = F.concat(F.array(F.lit(0).cast("long")), F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k)))
-    spread = many.select("fp", F.explode(steps).alias("step")).select("fp", F.col("fp").bitwiseXOR(F.col("step")).alias("word"))
+    spread = rest.select("fp", F.explode(steps).alias("step")).select("fp", F.col("fp").bitwiseXOR(F.col("step")).alias("word"))
     # at most 65 fingerprints meet in a word
     met = spread.groupBy("word").agg(F.collect_list("fp").alias("all")).where(F.size("all") > 1)
     met = met.select(F.array_min("all").alias("a"), F.explode("all").alias("b")).where("a < b")
-    return pairs.unionByName(met).distinct()
+    return first.unionByName(met).distinct()
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+#: Rounds double what a component has gathered, so this many never come; to stop short of the end would give wrong groups.
+ROUNDS = 200
+
+
+def components(edges: DataFrame) -> DataFrame:
     """node, root (the least node of its component) for the nodes of edges a, b."""
-    edges = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "cc")
+    spark = edges.sparkSession
+    with discarding(spark):
+        edges = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "cc", keep=True)
     seen = None
-    for _ in range(rounds):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # large star: larger neighbours go to the least of the neighbourhood
-        least = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-least")
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = materialise(large, "cc-large")
-        # small star: smaller neighbours, and the node, go to the least
-        least = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "cc-least")
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = materialise(small.where("u <> v").distinct(), "cc")
+    for _ in range(ROUNDS):
+        with discarding(spark):
+            both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            # large star: larger neighbours go to the least of the neighbourhood
+            least = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-least")
+            large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+            large = materialise(large, "cc-large")
+            # small star: smaller neighbours, and the node, go to the least
+            least = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "cc-least")
+            small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+            edges = materialise(small.where("u <> v").distinct(), "cc", keep=True)
         mark = tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.count_distinct("u")).first())
         if mark == seen and mark[0] == mark[2]:
-            break
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         seen = mark
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    raise RuntimeError(f"components have not settled in {ROUNDS} rounds")
 
 
 def near_duplicates(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """kept columns (doc_id among them), fp and component_id."""
-    prints = materialise(fingerprints(docs, keep, text), "simhash")
-    distinct = materialise(prints.groupBy("fp").agg(F.min(doc_id).alias("least")), "simhash-distinct")
-    roots = components(links(distinct))
-    grouped = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = materialise(grouped.select("fp", "root").join(named, "root").select("fp", "component_id"), "simhash-named")
-    return prints.join(named, "fp").select(*keep, "fp", "component_id")
+    names = {"simhash_fp": free(docs.select(*keep), "fp"), "simhash_component": free(docs.select(*keep), "component_id")}
+    with discarding(docs.sparkSession):
+        prints = materialise(fingerprints(docs, keep, text), "simhash", keep=True)
+        distinct = materialise(prints.groupBy(F.col("simhash_fp").alias("fp")).agg(F.min(doc_id).alias("least")), "simhash-distinct")
+        roots = components(links(distinct))
+        grouped = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+        named = grouped.groupBy("root").agg(F.min("least").alias("simhash_component"))
+        named = materialise(grouped.select(F.col("fp").alias("simhash_fp"), "root").join(named, "root").select("simhash_fp", "simhash_component"), "simhash-named", keep=True)
+    return prints.join(named, "simhash_fp").select(*keep, *(F.col(own).alias(name) for own, name in names.items()))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -222,7 +222,7 @@ def test_edges_keep_rows(spark, edge):
     n = len(EDGE)
     assert quality.judge(edge).count() == n and media.media_columns(edge).count() == n
     assert licenses.license_columns(edge).count() == n
-    assert simhash.near_duplicates(edge.drop("fp"), ["doc_id"]).count() == n
+    assert simhash.near_duplicates(edge, ["doc_id", "fp"]).columns == ["doc_id", "fp", "fp_", "component_id"]
     assert toxicity.score(edge, toxicity.Model({}, -0.9, constant=0.1)).count() == n
     assert line_dedup.dedup(edge).columns == edge.columns
     empty = edge.limit(0)
