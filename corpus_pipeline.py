@@ -10,7 +10,7 @@ from lexmill.llm.common import materialise, table
 STAGES = [
     ("quality_rules", quality.stage),
     ("line_dedup", line_dedup.stage),
-    ("near_dedup", near_copies.stage),
+    ("simhash_near_dedup", near_copies.stage),
     ("mixing", mixing.stage),
     ("packing", packing.stage),
 ]
