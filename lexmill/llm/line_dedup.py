@@ -27,6 +27,8 @@ found in it; of rows that share both, one is read and the others lose all their
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +41,8 @@ _NUM, _DEN = 4, 5  # THRESHOLD as a fraction: filters in whole numbers
 WORDS = 4
 #: Sets of fewer tokens match equal sets only.
 SHORT = 4
+#: The prefix join takes its keys in so many parts, one after the other: only a part of its rows is on disk at once.
+PASSES = 4
 #: Up to so many nodes (24 MB) are broadcast to a join; more are joined by shuffle.
 BROADCAST_NODES = 1_000_000
 
@@ -167,7 +171,8 @@ def candidates(own: DataFrame, count: bool) -> DataFrame:
     """a, b (a the earlier): nodes that share a prefix token, pass the filters, and aren't settled by the stars."""
     rows = own.where(F.col("n") >= SHORT).select("sig", "doc", "text_key", "line", "n", "bits", *(("home", "g") if count else ("late",)), "prefix", F.posexplode("prefix").alias("at", "key"))
     rows = rows.withColumn("before", F.when(F.col("at") > 0, F.get("prefix", F.col("at") - 1))).drop("prefix")
-    side = lambda x: rows.select("key", *(F.col(c).alias(f"{c}_{x}") for c in rows.columns if c != "key"))
+    part = lambda k: rows.where(F.pmod("key", F.lit(PASSES)) == k)
+    side = lambda rows, x: rows.select("key", *(F.col(c).alias(f"{c}_{x}") for c in rows.columns if c != "key"))
     na, nb, ia, ib = (F.col(c) for c in ("n_a", "n_b", "at_a", "at_b"))
     limit = _limit(na, nb)
     open_ = (F.col("home_a") != F.col("home_b")) | (F.col("g_a") + F.col("g_b") > 0) if count else ~F.col("late_b")
@@ -176,7 +181,9 @@ def candidates(own: DataFrame, count: bool) -> DataFrame:
     near = near & (F.abs(ia - ib) + F.abs((na - ia) - (nb - ib)) <= limit)
     # where the tokens before are shared too, the pair has come by them
     near = near & ~F.coalesce(F.col("before_a") == F.col("before_b"), F.lit(False)) & (_place("_a") < _place("_b"))
-    return side("a").join(side("b"), "key").where(near).select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b")).distinct()
+    met = lambda k: side(part(k), "a").join(side(part(k), "b"), "key").where(near).select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b"))
+    parts = [materialise(met(k).distinct(), "line-part") for k in range(PASSES)]
+    return functools.reduce(DataFrame.unionByName, parts).distinct()
 
 
 def classes(found: DataFrame, count: bool) -> DataFrame:
