@@ -12,8 +12,8 @@ the distance d (tokens in one set only). For x and y of one home the triangle in
 and similarity of at least 4/5 is distance <= (n_x + n_y) / 9: so where 9 d - n of both add up to 0 or less, they match
 without a look at their sets, and such pairs are counted from a histogram of each home. Second, the prefix join with
 length and positional filters, for what the stars leave open: pairs of two homes, or of one home and a greater sum;
-or, if matches need not be counted, later lines that no star has removed. The join compares 64-bit parities of the sets, which bound
-their distance from below; pairs that pass meet 256-bit parities, then the whole sets.
+or, if matches need not be counted, later lines that no star has removed. The join compares parities of the sets (64 bits,
+and 256 for sets of over LONG tokens, which fill 64), which bound their distance from below; then the whole sets decide.
 
 A line goes if a line of an equal or matching set stands earlier in (doc_id, line number) order. Words are told apart by
 64-bit hashes, sets by a 64-bit hash of those.
@@ -37,8 +37,10 @@ from lexmill.llm.common import ASCII_SPACE, discarding, free, materialise, singl
 THRESHOLD = 0.8
 BUCKETS = 1 << 18
 _NUM, _DEN = 4, 5  # THRESHOLD as a fraction: filters in whole numbers
-#: Words of the parities that pairs are compared by before verification; a power of two.
+#: 64-bit words of the parities of sets of over LONG tokens; a power of two.
 WORDS = 4
+LONG = 64
+WIDE = [f"w{k}" for k in range(1, WORDS)]
 #: Sets of fewer tokens match equal sets only.
 SHORT = 4
 #: The prefix join takes its keys in so many parts, one after the other: only a part of its rows is on disk at once.
@@ -90,13 +92,23 @@ def _bits(toks: Column) -> Column:
     return F.aggregate(toks, F.lit(0).cast("long"), lambda s, t: s.bitwiseXOR(_bit(t)))
 
 
-def _wide(toks: Column) -> list[Column]:
-    """_bits in WORDS words: longer lines fill one."""
+def _wide(toks: Column, n: Column) -> list[Column]:
+    """_bits in WORDS words, of which the first follows from _bits and the others; 0 for sets that don't need them."""
 
     def word(k: int) -> Column:
         return _bits(F.filter(toks, lambda t: F.shiftrightunsigned(t, 6).bitwiseAND(F.lit(WORDS - 1)) == k))
 
-    return [word(k) for k in range(WORDS)]
+    return [F.when(n > LONG, word(k)).otherwise(F.lit(0).cast("long")) for k in range(1, WORDS)]
+
+
+def _apart(x: str, y: str) -> Column:
+    """A lower bound of the distance of two sets, by their parities."""
+    differ = [F.col(f"{c}{x}").bitwiseXOR(F.col(f"{c}{y}")) for c in ("bits", *WIDE)]
+    first = differ[0]
+    for w in differ[1:]:
+        first = first.bitwiseXOR(w)
+    whole = sum((F.bit_count(w) for w in differ[1:]), F.bit_count(first))
+    return F.when((F.col(f"n{x}") > LONG) & (F.col(f"n{y}") > LONG), whole).otherwise(F.bit_count(differ[0]))
 
 
 def _limit(na: Column, nb: Column) -> Column:
@@ -113,13 +125,14 @@ def _held(small: DataFrame) -> DataFrame:
 
 
 def nodes(found: DataFrame, ranks: Column) -> DataFrame:
-    """A row for each set: sig, its earliest line (doc, text_key, line), copies, n, bits, lo and hi (least and greatest hash), prefix."""
+    """A row for each set: sig, its earliest line (doc, text_key, line), copies, n, parities, lo and hi (least and greatest hash), prefix."""
     n, order = F.col("n"), _ordered(F.col("toks"), ranks)
     prefix = F.when(n >= SHORT, F.slice(order, F.lit(1), _prefix(n)))
-    each = found.select("sig", _place().alias("place"), "n", _bits(F.col("toks")).alias("bits"), F.array_min("toks").alias("lo"), F.array_max("toks").alias("hi"), prefix.alias("prefix"))
+    wide = [w.alias(name) for name, w in zip(WIDE, _wide(F.col("toks"), n), strict=True)]
+    each = found.select("sig", _place().alias("place"), "n", _bits(F.col("toks")).alias("bits"), *wide, F.array_min("toks").alias("lo"), F.array_max("toks").alias("hi"), prefix.alias("prefix"))
     # lines that a task meets again are dropped before the shuffle by the partial aggregate
-    out = each.groupBy("sig").agg(F.min("place").alias("place"), F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("n", "bits", "lo", "hi", "prefix")))
-    return out.select("sig", "place.doc", "place.text_key", "place.line", "copies", "n", "bits", "lo", "hi", "prefix")
+    out = each.groupBy("sig").agg(F.min("place").alias("place"), F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("n", "bits", *WIDE, "lo", "hi", "prefix")))
+    return out.select("sig", "place.doc", "place.text_key", "place.line", "copies", "n", "bits", *WIDE, "lo", "hi", "prefix")
 
 
 def verify(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -127,23 +140,19 @@ def verify(pairs: DataFrame, found: DataFrame) -> DataFrame:
     named = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
     one = found.select("sig", "n", "toks").join(_held(materialise(named, "line-named")), "sig", "left_semi")
     one = one.groupBy("sig").agg(F.first("n").alias("n"), F.first("toks").alias("toks"))
-    sets = materialise(one.select("sig", "n", "toks", *(w.alias(f"w{k}") for k, w in enumerate(_wide(F.col("toks"))))), "line-sets")
-    side = lambda x, *cols: sets.select(F.col("sig").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in cols))
-    wide = [f"w{k}" for k in range(WORDS)]
-    close = pairs.join(side("a", "n", *wide), "a").join(side("b", "n", *wide), "b")
-    apart = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in wide[1:]), F.bit_count(F.col(f"{wide[0]}_a").bitwiseXOR(F.col(f"{wide[0]}_b"))))
-    close = materialise(close.where(apart <= _limit(F.col("n_a"), F.col("n_b"))).select("a", "b", "n_a", "n_b"), "line-close")
-    both = close.join(side("a", "toks"), "a").join(side("b", "toks"), "b")
+    sets = materialise(one, "line-sets")
+    side = lambda x: sets.select(F.col("sig").alias(x), F.col("n").alias(f"n_{x}"), F.col("toks").alias(f"toks_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
     far = F.col("n_a") + F.col("n_b") - 2 * F.size(F.array_intersect("toks_a", "toks_b"))
     return both.select("a", "b", "n_a", "n_b", far.alias("d")).where(F.col("d") <= _limit(F.col("n_a"), F.col("n_b"))).select("a", "b", "n_b", "d")
 
 
 def stars(own: DataFrame, found: DataFrame) -> DataFrame:
     """a, b, n_b, d, doc, text_key, line (a's): b matches a, the earliest node under one of its two keys."""
-    keyed = own.where(F.col("n") >= SHORT).select("sig", "n", "bits", _place().alias("place"), F.explode(F.array("lo", F.bitwise_not("hi"))).alias("key"))
-    first = keyed.groupBy("key").agg(F.min(F.struct("place", "sig", "n", "bits")).alias("c"), F.count("*").alias("met")).where("met > 1")
-    first = first.select("key", F.col("c.sig").alias("a"), F.col("c.n").alias("n_a"), F.col("c.bits").alias("bits_a"), F.col("c.place").alias("place_a"))
-    met = keyed.join(first, "key").where((F.col("sig") != F.col("a")) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("bits_a"))) <= _limit(F.col("n"), F.col("n_a"))))
+    keyed = own.where(F.col("n") >= SHORT).select("sig", "n", "bits", *WIDE, _place().alias("place"), F.explode(F.array("lo", F.bitwise_not("hi"))).alias("key"))
+    first = keyed.groupBy("key").agg(F.min(F.struct("place", "sig", "n", "bits", *WIDE)).alias("c"), F.count("*").alias("met")).where("met > 1")
+    first = first.select("key", F.col("c.sig").alias("a"), *(F.col(f"c.{x}").alias(f"{x}_a") for x in ("place", "n", "bits", *WIDE)))
+    met = keyed.join(first, "key").where((F.col("sig") != F.col("a")) & (_apart("", "_a") <= _limit(F.col("n"), F.col("n_a"))))
     pairs = materialise(met.groupBy("a", F.col("sig").alias("b")).agg(F.first("place_a").alias("p")), "line-stars")
     good = verify(pairs.select("a", "b"), found)
     return materialise(good.join(pairs, ["a", "b"]).select("a", "b", "n_b", "d", "p.doc", "p.text_key", "p.line"), "line-near")
@@ -169,7 +178,7 @@ def sure(members: DataFrame) -> DataFrame:
 
 def candidates(own: DataFrame, count: bool) -> DataFrame:
     """a, b (a the earlier): nodes that share a prefix token, pass the filters, and aren't settled by the stars."""
-    rows = own.where(F.col("n") >= SHORT).select("sig", "doc", "text_key", "line", "n", "bits", *(("home", "g") if count else ("late",)), "prefix", F.posexplode("prefix").alias("at", "key"))
+    rows = own.where(F.col("n") >= SHORT).select("sig", "doc", "text_key", "line", "n", "bits", *WIDE, *(("home", "g") if count else ("late",)), "prefix", F.posexplode("prefix").alias("at", "key"))
     rows = rows.withColumn("before", F.when(F.col("at") > 0, F.get("prefix", F.col("at") - 1))).drop("prefix")
     part = lambda k: rows.where(F.pmod("key", F.lit(PASSES)) == k)
     side = lambda rows, x: rows.select("key", *(F.col(c).alias(f"{c}_{x}") for c in rows.columns if c != "key"))
@@ -177,7 +186,7 @@ def candidates(own: DataFrame, count: bool) -> DataFrame:
     limit = _limit(na, nb)
     open_ = (F.col("home_a") != F.col("home_b")) | (F.col("g_a") + F.col("g_b") > 0) if count else ~F.col("late_b")
     # at most `limit` tokens are in one set only: of those before the shared token, the places differ by no more
-    near = open_ & (F.abs(na - nb) <= limit) & (F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= limit)
+    near = open_ & (F.abs(na - nb) <= limit) & (_apart("_a", "_b") <= limit)
     near = near & (F.abs(ia - ib) + F.abs((na - ia) - (nb - ib)) <= limit)
     # where the tokens before are shared too, the pair has come by them
     near = near & ~F.coalesce(F.col("before_a") == F.col("before_b"), F.lit(False)) & (_place("_a") < _place("_b"))
