@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import ast
+from dataclasses import dataclass, fields, replace
 
 
 @dataclass(frozen=True)
@@ -31,3 +32,31 @@ class Curate:
 
 
 INGEST, CURATE = Ingest(), Curate()
+
+
+def _value(text: str):
+    """A plain YAML scalar or bracketed list."""
+    plain = {"true": True, "yes": True, "false": False, "no": False, "null": None, "~": None, "": None}
+    if text.lower() in plain:
+        return plain[text.lower()]
+    try:
+        return ast.literal_eval(text)
+    except (ValueError, SyntaxError):
+        return text
+
+
+def load(text: str, base=CURATE):
+    """base with the values that a flat YAML text (key: value lines, comments) names; keys it doesn't know are an error."""
+    given = {}
+    for line in text.splitlines():
+        bare = line.split(" #")[0].strip()
+        if not bare or bare.startswith(("#", "---")):
+            continue
+        key, mark, value = bare.partition(":")
+        if not mark:
+            raise ValueError(f"no 'key: value' line: {line!r}")
+        given[key.strip()] = _value(value.strip())
+    known = {f.name: f for f in fields(base)}
+    if strange := sorted(set(given) - set(known)):
+        raise ValueError(f"unknown settings: {', '.join(strange)}")
+    return replace(base, **{k: tuple(v) if isinstance(v, list) else v for k, v in given.items()})

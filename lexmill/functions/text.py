@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -101,4 +104,54 @@ def speakable(text: Column) -> Column:
 
 
 def without_fillers(text: Column) -> Column:
-    return strip(F.regexp_replace(F.regexp_replace(text, r"(?i)\b(um|uh|er|ah)\b", ""), r"\s+", " "))
+    return strip(F.regexp_replace(F.regexp_replace(text, r"(?iU)\b(um|uh|er|ah)\b", ""), r"\s+", " "))
+
+
+def word_cosine(a: Column, b: Column) -> Column:
+    """Cosine of the two texts' sets of lower-case words: a stand-in for a sentence encoder's similarity. 0 without words."""
+    wa, wb = (F.array_distinct(words(F.lower(F.coalesce(x, F.lit(""))))) for x in (a, b))
+    n = F.size(wa) * F.size(wb)
+    return F.when(n == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(wa, wb)) / F.sqrt(n.cast("double")))
+
+
+def speech_clip(text: Column, skip: int, cut: int | None = None) -> Column:
+    """speakable text, null if longer than skip; cut to so many characters first where a cut is named."""
+    spoken = speakable(text)
+    spoken = spoken if cut is None else F.substring(spoken, 1, cut)
+    return F.when(F.length(text) <= skip, spoken)
+
+
+def token_ids(text: Column, longest: int = 512, vocabulary: int = 50_000) -> Column:
+    """array<int>: a stand-in tokenizer, of words and single marks by hash, cut to the longest."""
+    found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"([\p{L}\p{N}_]+|[^\p{L}\p{N}_\s])"), F.lit(1))
+    number = lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 7), 16, 10).cast("int"), F.lit(vocabulary))
+    return F.transform(F.slice(found, F.lit(1), F.lit(longest)), number)
+
+
+def entities(text: Column, least: int = 3) -> Column:
+    """array<struct<text, label>>: a stand-in recogniser, of capitalised runs (NAME) and numbers (NUMBER) of so many characters."""
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(\p{Lu}[\p{L}]*(?: \p{Lu}[\p{L}]*)*|\p{N}+)"), F.lit(1))
+    kind = lambda x: F.when(x.rlike(r"^\p{N}"), "NUMBER").otherwise("NAME")
+    return F.transform(F.filter(found, lambda x: F.length(x) >= least), lambda x: F.struct(x.alias("text"), kind(x).alias("label")))
+
+
+_CUT_ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{0,3}(?![0-9A-Fa-f]).", re.DOTALL)
+
+
+def _unescaped(text: str | None) -> str | None:
+    for tried in (text, _CUT_ESCAPE.sub("", text or "")):
+        try:
+            return None if text is None else tried.encode().decode("unicode_escape")
+        except UnicodeDecodeError:
+            continue
+    return text
+
+
+def unescape(text: Column) -> Column:
+    """Backslash escapes decoded; escapes that are cut short are taken out first where that helps, else the text stays."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(_unescaped)
+
+    return run(text)

@@ -36,8 +36,8 @@ def embed(df: DataFrame, text: str = "text", to: str = "embedding", dims: int =
     Each step is a projection whose inputs are read twice, so that Catalyst doesn't put one inside another's lambda.
     """
     slots, counts = F.col(f"{to}_slots"), F.col(f"{to}_counts")
-    found = F.transform(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != ""), lambda w: F.pmod(F.crc32(w.cast("binary")), F.lit(dims)))
+    found = F.transform(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != ""), lambda w: F.pmod(F.conv(F.substring(F.md5(w), 1, 7), 16, 10).cast("int"), F.lit(dims)))
     out = df.withColumn(f"{to}_slots", found)
-    spread = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda k: F.size(F.filter(slots, lambda s: s == k)).cast("double"))
+    spread = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda k: (F.size(slots) - F.size(F.array_remove(slots, k))).cast("double"))
     out = out.withColumn(f"{to}_counts", F.when(F.size(slots) == 0, F.array_repeat(F.lit(0.0), dims)).otherwise(spread))
     return out.withColumn(to, unit(counts)).drop(f"{to}_slots", f"{to}_counts")

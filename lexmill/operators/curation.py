@@ -76,7 +76,8 @@ def with_context(pairs: DataFrame, entries: int = CURATE.context_entries) -> Dat
 
 
 def pair_quality(pairs: DataFrame, similarity: Column | None = None, c=CURATE) -> DataFrame:
-    sim = F.lit(0.0) if similarity is None else similarity
+    """pairs with their metrics and quality_score; similarity is the cosine of word sets unless another is given."""
+    sim = T.word_cosine(F.col("user"), F.col("assistant")) if similarity is None else similarity
     out = pairs.withColumns({"user_len": F.length("user"), "assistant_len": F.length("assistant"), "user_words": T.n_words(F.col("user")), "assistant_words": T.n_words(F.col("assistant")), "semantic_similarity": sim})
     ratio = F.when(F.col("user_len") > 0, F.col("assistant_len") / F.col("user_len")).otherwise(0.0)
     out = out.withColumns({"length_ratio": ratio, "readability_score": T.readability(F.col("assistant")), "information_density": T.density(F.col("assistant"))})
@@ -100,9 +101,13 @@ def ranked(df: DataFrame, order: list[Column], to: str) -> DataFrame:
     return part.join(F.broadcast(counts), f"{to}_part").withColumn(to, F.col(f"{to}_own") + F.col(f"{to}_before")).drop(f"{to}_part", f"{to}_own", f"{to}_before")
 
 
-def splits(pairs: DataFrame, key: list[str], score: str = "quality_score", c=CURATE) -> DataFrame:
+def splits(pairs: DataFrame, key: list[str], score: str = "quality_score", c=CURATE, stratified: bool = False) -> DataFrame:
     """pairs with quartile and split: by quality downwards into quartiles (the rest to the last), in a keyed hash
-    order within each, then cut into training, validation and test."""
+    order within each, then cut into training, validation and test. The cut runs over all quartiles, so training gets the
+    best; stratified cuts each quartile by itself."""
+    from lexmill.sources.store import written
+
+    pairs = written(pairs, "pairs")  # read four times from here on
     total = pairs.count()
     out = ranked(pairs, [F.col(score).desc(), *map(F.col, key)], "quality_rank")
     quarter = max(total // 4, 1)
@@ -110,6 +115,11 @@ def splits(pairs: DataFrame, key: list[str], score: str = "quality_score", c=CUR
     out = out.withColumn("quartile", quartile)
     mixed = F.md5(F.concat_ws("|", F.lit(c.seed), *(F.col(k).cast("string") for k in key)))
     out = ranked(out.withColumn("shuffle_key", mixed), [F.col("quartile"), F.col("shuffle_key")], "position").drop("shuffle_key", "quality_rank")
+    if stratified:
+        # a quartile's size and start follow from the total
+        start, size = (F.col("quartile") * quarter, F.when(F.col("quartile") < 3, quarter).otherwise(total - 3 * quarter)) if total >= 4 else (F.lit(0), F.lit(total))
+        own, a, b = F.col("position") - start, F.floor(size * c.shares[0]), F.floor(size * c.shares[1])
+        return out.withColumn("split", F.when(own <= a, "train").when(own <= a + b, "validation").otherwise("test"))
     a, b = int(total * c.shares[0]), int(total * c.shares[1])
     return out.withColumn("split", F.when(F.col("position") <= a, "train").when(F.col("position") <= a + b, "validation").otherwise("test"))
 
@@ -131,8 +141,44 @@ def questions(chunks_df: DataFrame, key: list[str], label: Column, seed: str = C
     return asked.withColumn("question", F.replace("template", F.lit("{label}"), F.col("label"))).drop("pool", "template")
 
 
-def source_label(filename: Column) -> Column:
-    return F.concat(F.lit("From '"), F.replace(F.regexp_replace(filename, r"\.pdf$", ""), F.lit("_"), F.lit(" ")), F.lit("': "))
+def source_label(filename: Column, page: Column | None = None, chapter: Column | None = None) -> Column:
+    """Where a question's text is from: the file, then page and chapter where they are known."""
+    out = F.coalesce(F.concat(F.lit("From '"), F.replace(F.replace(filename, F.lit(".pdf"), F.lit("")), F.lit("_"), F.lit(" ")), F.lit("': ")), F.lit(""))
+    for x, form in ((page, "(Page %s) "), (chapter, "[Chapter: %s] ")):
+        if x is not None:
+            out = F.concat(out, F.when(x.isNotNull(), F.format_string(form, x.cast("string"))).otherwise(""))
+    return out
+
+
+def with_context_prefix(user: Column, context: Column) -> Column:
+    return F.when(F.coalesce(context, F.lit("")) != "", F.concat(F.lit("Context: "), context, F.lit("\n\nUser: "), user)).otherwise(user)
+
+
+def drop_emptied(df: DataFrame, text: str = "text", to: str = "cleaned") -> DataFrame:
+    """df with the cleaned text, without the rows that cleaning leaves nothing of."""
+    return df.withColumn(to, T.clean(F.col(text))).where(F.col(to) != "")
+
+
+def by_file(chunks_df: DataFrame, filename: str = "filename", unknown: str = "unknown_pdf_source", most: int | None = None, key: str = "doc_id", seed: str = CURATE.seed) -> DataFrame:
+    """Chunks with source_file; with most, so many of each file in a keyed hash order (a sample, as the feature has it)."""
+    own = chunks_df.withColumn("source_file", F.coalesce(F.col(filename), F.lit(unknown)))
+    if most is None:
+        return own
+    w = Window.partitionBy("source_file").orderBy(F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string"))), key)
+    return own.withColumn("file_rank", F.row_number().over(w)).where(F.col("file_rank") <= most).drop("file_rank")
+
+
+def question_pairs(chunks_df: DataFrame, key: list[str], label: Column, text: str = "text") -> DataFrame:
+    """Question and text of each chunk as pairs of enough quality: key, source_file, domain, user, assistant, quality_score."""
+    asked = questions(chunks_df.where(F.coalesce(F.col(text), F.lit("")) != ""), key, label)
+    asked = asked.select(*key, "source_file", "domain", F.col("question").alias("user"), F.col(text).alias("assistant"))
+    return pair_quality(asked).where(F.col("quality_score") >= CURATE.min_quality).select(*key, "source_file", "domain", "user", "assistant", "quality_score")
+
+
+def frequencies(pairs: DataFrame, source: str = "source_file", domain: str = "domain") -> DataFrame:
+    """kind ('source' or 'domain'), name, n: in one pass, with the defaults for pairs of conversations."""
+    own = pairs.select(F.explode(F.array(F.struct(F.lit("source").alias("kind"), F.coalesce(F.col(source), F.lit("conversation")).alias("name")), F.struct(F.lit("domain").alias("kind"), F.coalesce(F.col(domain), F.lit("general")).alias("name")))).alias("x"))
+    return own.groupBy("x.kind", "x.name").agg(F.count("*").alias("n"))
 
 
 def training_text(user: Column, assistant: Column) -> Column:

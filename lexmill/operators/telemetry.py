@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections import OrderedDict
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 
 def session_stats(events: DataFrame, by: str = "user_id", method: str = "event_type", fallback: str = "error") -> DataFrame:
@@ -38,16 +41,39 @@ def latest(events: DataFrame, by: str, order: list[str], n: int) -> DataFrame:
 
 
 def lru_hits(accesses: DataFrame, session: str, key: str, order: str, capacity: int) -> DataFrame:
-    """accesses with hit: fewer than capacity distinct keys were used since the key's last use (its stack distance)."""
-    own = Window.partitionBy(session).orderBy(order)
-    same = Window.partitionBy(session, key).orderBy(order)
-    seen = accesses.withColumns({"place": F.row_number().over(own)})
-    seen = seen.withColumns({"last": F.lag("place").over(same), "next": F.lead("place").over(same)})
-    # keys between two uses: those whose latest use before this one lies after the earlier use of this key
-    between = seen.alias("x").join(seen.alias("y"), (F.col(f"x.{session}") == F.col(f"y.{session}")) & (F.col("y.place") > F.col("x.last")) & (F.col("y.place") < F.col("x.place")) & (F.coalesce(F.col("y.next"), F.lit(1 << 60)) >= F.col("x.place")))
-    depth = between.groupBy(F.col(f"x.{session}").alias(session), F.col("x.place").alias("place")).agg(F.count("*").alias("depth"))
-    out = seen.join(depth, [session, "place"], "left")
-    return out.withColumn("hit", F.col("last").isNotNull() & (F.coalesce("depth", F.lit(0)) < capacity)).drop("last", "next", "depth")
+    """accesses with hit: the key is among the capacity keys that the session used last. One ordered pass; the state is
+    those keys, so a session of any length takes bounded memory."""
+    rows = accesses.repartition(session).sortWithinPartitions(session, order)
+    schema = StructType([*rows.schema.fields, StructField("hit", BooleanType())])
+
+    def run(batches):
+        at, held = None, OrderedDict()
+        for pdf in batches:
+            hits = []
+            for s, k in zip(pdf[session].tolist(), pdf[key].tolist(), strict=True):
+                if s != at:
+                    at, held = s, OrderedDict()
+                hits.append(k in held)
+                held[k] = None
+                held.move_to_end(k)
+                if len(held) > capacity:
+                    held.popitem(last=False)
+            yield pdf.assign(hit=hits)
+
+    return rows.mapInPandas(run, schema)
+
+
+def throughput(events: DataFrame, by: str, ts: str) -> DataFrame:
+    """Items a second of each group, from its first to its last; null where that is no time."""
+    spent = F.max(ts).cast("timestamp").cast("double") - F.min(ts).cast("timestamp").cast("double")
+    return events.groupBy(by).agg(F.count("*").alias("items"), spent.alias("seconds")).withColumn("per_second", F.when(F.col("seconds") > 0, F.col("items") / F.col("seconds")))
+
+
+def parameter_counts(tensors: DataFrame, shape: str = "shape", trainable: str = "trainable") -> DataFrame:
+    """One row: trainable and all parameters of a model's tensors (shape: array<long>), and the share in percent."""
+    size = F.aggregate(shape, F.lit(1).cast("long"), lambda a, x: a * x)
+    out = tensors.agg(F.coalesce(F.sum(F.when(F.col(trainable), size)), F.lit(0)).alias("trainable"), F.coalesce(F.sum(size), F.lit(0)).alias("total"))
+    return out.withColumn("percent", F.when(F.col("total") > 0, 100.0 * F.col("trainable") / F.col("total")))
 
 
 def collate(tokens: DataFrame, key: str, ids: str, batch: int, longest: int = 512, pad: int = 0) -> DataFrame:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.functions.text import ingest_text, ingest_valid
+from lexmill.operators.curation import chunks
+
 
 def _text(v: str, *paths: str) -> list[Column]:
     return [F.nullif(F.expr(f"try_variant_get({v}, '{p}', 'string')"), F.lit("")) for p in paths]
@@ -73,21 +76,59 @@ def messages(convs: DataFrame) -> DataFrame:
 
 
 def profile(files: DataFrame, raw: str = "value") -> DataFrame:
-    """What each file holds: its root's type, length and first keys."""
+    """What each file holds: its root's type, length and first keys, the shape of its first entry and that one's text field."""
     rest = [c for c in files.columns if c != raw]
     kind = F.when(F.ltrim(raw).startswith("["), "list").when(F.ltrim(raw).startswith("{"), "dict").otherwise("other")
-    return files.select(*rest, kind.alias("root"), F.coalesce(F.json_array_length(raw), F.size(F.json_object_keys(raw))).alias("length"), F.json_object_keys(raw).alias("keys"))
+    first = F.when(kind == "list", F.get_json_object(raw, "$[0]")).when(kind == "dict", F.col(raw))
+    keys = F.json_object_keys(first)
+    named = F.get(F.filter(F.array(*map(F.lit, ("text", "content", "total_text", "body", "message"))), lambda k: F.array_contains(keys, k)), F.lit(0))
+    shape = F.when(keys.isNull(), F.when(first.isNotNull(), "scalar")).otherwise(F.array_join(F.array_sort(keys), ","))
+    return files.select(*rest, kind.alias("root"), F.coalesce(F.json_array_length(raw), F.size(F.json_object_keys(raw))).alias("length"), F.json_object_keys(raw).alias("keys"), shape.alias("shape"), named.alias("text_field"))
+
+
+def estimate(files: DataFrame, raw: str = "value") -> DataFrame:
+    """files with items: how many entries each holds, by its root's shape, without a scan of the entries."""
 
+    def held(path: str) -> Column:
+        part = F.get_json_object(raw, path)
+        return F.coalesce(F.json_array_length(part), F.size(F.json_object_keys(part)))
 
-def documents(files: DataFrame, raw: str = "value") -> DataFrame:
-    """Document files: a list of documents; the text is the first string among text, content, total_text, body."""
+    values = F.map_values(F.expr(f"try_variant_get(try_parse_json({raw}), '$', 'map<string,variant>')"))
+    size = lambda v: F.coalesce(F.json_array_length(F.to_json(v)), F.size(F.json_object_keys(F.to_json(v))), F.lit(1))
+    other = F.aggregate(F.transform(values, size), F.lit(0), lambda a, x: a + x)
+    known = [F.when(F.get_json_object(raw, f"$.{k}").isNotNull(), held(f"$.{k}")) for k in ("conversations", "mapping", "messages")]
     rest = [c for c in files.columns if c != raw]
-    own = files.select(*rest, F.posexplode(F.expr(f"try_variant_get(try_parse_json({raw}), '$', 'array<variant>')")).alias("document_id", "v"))
+    return files.select(*rest, F.coalesce(F.json_array_length(raw), *known, other, F.lit(0)).alias("items"))
+
+
+def entries(spark, rows: list[dict]) -> DataFrame:
+    """A source held in memory: text, source, message_id, author, timestamp, filename; what a row lacks is null."""
+    names = ("text", "source", "message_id", "author", "timestamp", "filename")
+    return spark.createDataFrame([tuple(None if r.get(n) is None else str(r[n]) for n in names) for r in rows], ", ".join(f"{n} string" for n in names))
+
+
+def documents(files: DataFrame, raw: str = "value", strict: bool = False) -> DataFrame:
+    """Document files: a list of documents; the text is the first string among text, content, total_text, body. A file
+    that is no JSON is skipped, or with strict an error."""
+    rest = [c for c in files.columns if c != raw]
+    parse = "parse_json" if strict else "try_parse_json"
+    own = files.select(*rest, F.posexplode(F.expr(f"try_variant_get({parse}({raw}), '$', 'array<variant>')")).alias("document_id", "v"))
     body = F.coalesce(*(F.when(F.expr(f"schema_of_variant(try_variant_get(v, '$.{f}', 'variant'))") == "STRING", F.expr(f"try_variant_get(v, '$.{f}', 'string')")) for f in ("text", "content", "total_text", "body")))
     name = F.coalesce(*_text("v", "$.filename"), F.concat(F.lit("document_"), F.col("document_id"), F.lit(".pdf")))
     return own.select(*rest, "document_id", name.alias("filename"), F.trim(body).alias("text")).where("text <> ''")
 
 
+def document_chunks(files: DataFrame, raw: str = "value", strict: bool = False, cut_first: bool = False) -> DataFrame:
+    """The valid chunks of document files: file columns, document_id, filename, chunk_id, total_chunks, chunk. cut_first cuts
+    texts to the longest that is embedded before they are chunked, as one old form did."""
+    docs = documents(files, raw, strict)
+    rest = [c for c in docs.columns if c not in ("text", "document_id", "filename")]
+    own = docs.withColumn("chunk_key", F.struct(*rest, "document_id", "filename"))
+    own = own.withColumn("text", ingest_text(F.col("text"))) if cut_first else own
+    out = chunks(own, "text", "chunk_key").where(ingest_valid(F.col("chunk")))
+    return out.select("chunk_key.*", "chunk_id", "total_chunks", "chunk")
+
+
 def assemble(pages: DataFrame, key: str, page: str, text: str) -> DataFrame:
     """Documents of pages: the texts in page order, a blank line between; a document without text has failed."""
     kept = F.collect_list(F.when(F.trim(text) != "", F.struct(F.col(page).alias("page"), F.trim(text).alias("text"))))
