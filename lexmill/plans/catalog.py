@@ -374,7 +374,7 @@ def _(spark, d):
 @query("p16_hash_embedding", rf"""WITH w AS (SELECT conv_id, turn, unnest({_words('lower(text)')}) AS w FROM conversations), c AS (SELECT conv_id, turn, ('0x' || substr(md5(w), 1, 7))::INT % 64 AS slot, count(*)::DOUBLE AS n FROM w GROUP BY ALL)
 SELECT conv_id, turn, slot, round(n / sqrt(sum(n * n) OVER (PARTITION BY conv_id, turn)), 9) AS value FROM c""")
 def _(spark, d):
-    out = V.embed(t(spark, d, "conversations")).select("conv_id", "turn", F.posexplode("embedding").alias("slot", "x"))
+    out = V.embed(t(spark, d, "conversations")).select("conv_id", "turn", F.posexplode_outer("embedding").alias("slot", "x"))  # the outer form infers no filter that would be made of the whole embedding
     return out.where("x <> 0").select("conv_id", "turn", "slot", F.round("x", 9).alias("value"))
 
 
