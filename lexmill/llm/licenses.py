@@ -1,7 +1,12 @@
 """License scans: Aho-Corasick over normalised words, and a shunting-yard parser for identifier expressions.
 
+The score is the most that any finding restricts: a phrase or notice by its label, an identifier expression by its value
+(or: the least of its sides, and: the most, with: relaxed).
+
 Defined results: a null or empty text has no words, labels or places, and score 0; a phrase counts at every
-place, overlaps too; very long texts are scanned whole; other columns pass through untouched.
+place, overlaps too; very long texts are scanned whole, in time linear in their length; repeated rows get equal results; an
+empty table gives an empty one; other columns pass through untouched, and a new column whose name is taken gets "_" put
+behind it.
 """
 
 from __future__ import annotations
@@ -10,11 +15,12 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import table
+from lexmill.llm.common import free, table
 
 #: The contract's phrases.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -125,17 +131,22 @@ class Scanner:
     def scan(self, raw: bytes) -> tuple:
         words = normalise(raw)
         text = " " + b" ".join(words).decode("latin-1") + " "
-        starts, base, labels, notices, tagged, score = [], set(), set(), 0, False, 0.0
+        spots, base, labels, notices, tagged, score = [], set(), set(), 0, False, 0.0
         for end, (phrase, (kind, label)) in self.words.iter(text):
             if kind == "base":
-                starts.append(text.count(" ", 0, end - len(phrase) - 1))
+                spots.append(end - len(phrase) - 1)
                 base.add(label)
             elif kind == "notice":
                 notices += 1
                 labels.add(label)
             else:
                 tagged = True
-        expressions = []
+        starts = []
+        if spots:
+            # a phrase's word number is the spaces before it, but for the one it starts with
+            spaces = np.cumsum(np.frombuffer(text.encode("latin-1"), dtype=np.uint8) == 32)
+            starts = (spaces[spots] - 1).tolist()
+        noticed, expressions = set(labels), []
         if tagged:
             for m in _TAG_LINE.finditer(raw.lower()):
                 if rpn := parse(m[1].decode("utf-8", "replace")):
@@ -144,7 +155,7 @@ class Scanner:
                     labels |= named
                     score = max(score, restricts)
         labels |= base
-        score = max([score, *(weight(x) for x in labels)] if not expressions else [score, *(weight(x) for x in base)])
+        score = max([score, *(weight(x) for x in base | noticed)])
         return len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), notices, expressions, score
 
 
@@ -163,7 +174,7 @@ def scan_udf():
 
 def license_columns(df: DataFrame, text: str = "text", to: str = "license") -> DataFrame:
     """df with a struct of what the scan found."""
-    return df.withColumn(to, scan_udf()(F.col(text).cast("binary")))
+    return df.withColumn(free(df, to), scan_udf()(F.col(text).cast("binary")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

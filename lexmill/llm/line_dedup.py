@@ -266,3 +266,23 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_lines(table(spark, sf_dir, "documents"))
+
+
+def oracle() -> str:
+    """Candidates by shared prefix tokens, decided on the whole sets; no stars, no parities."""
+    return r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS said, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no FROM documents),
+s AS (SELECT doc_id, line_no::INT AS line_no, list_sort(list_distinct(regexp_extract_all(lower(said), '[^\x20\x09-\x0D]+'))) AS toks FROM l),
+p AS (SELECT *, array_to_string(toks, ' ') AS k FROM s WHERE len(toks) > 0),
+c AS (SELECT k, any_value(toks) AS toks, any_value(len(toks)) AS n, arg_min(doc_id, (doc_id, line_no)) AS first_doc, arg_min(line_no, (doc_id, line_no)) AS first_line FROM p GROUP BY k),
+t AS (SELECT k, n, unnest(toks) AS tok FROM c),
+f AS (SELECT tok, count(*) AS df FROM t GROUP BY tok),
+o AS (SELECT t.k, t.n, t.tok, row_number() OVER (PARTITION BY t.k ORDER BY f.df, t.tok) AS spot FROM t JOIN f USING (tok)),
+x AS (SELECT k, n, tok FROM o WHERE spot <= n - (4 * n + 4) // 5 + 1),
+m AS (SELECT DISTINCT a.k AS a, b.k AS b FROM x a JOIN x b ON a.tok = b.tok AND a.k < b.k AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n),
+v AS (SELECT m.a, m.b, len(list_intersect(ca.toks, cb.toks)) AS shared, ca.n + cb.n AS both_n, (ca.first_doc, ca.first_line) < (cb.first_doc, cb.first_line) AS a_first FROM m JOIN c ca ON ca.k = m.a JOIN c cb ON cb.k = m.b),
+g AS (SELECT * FROM v WHERE 5 * shared >= 4 * (both_n - shared)),
+e AS (SELECT a AS k, NOT a_first AS late FROM g UNION ALL SELECT b, a_first FROM g),
+n AS (SELECT k, count(*) AS n_links, bool_or(late) AS late FROM e GROUP BY k)
+SELECT p.doc_id, p.line_no, c.first_doc, c.first_line, coalesce(n.n_links, 0)::BIGINT AS n_links, (p.doc_id, p.line_no) > (c.first_doc, c.first_line) OR coalesce(n.late, false) AS removed
+FROM p JOIN c USING (k) LEFT JOIN n USING (k)"""

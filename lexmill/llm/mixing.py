@@ -10,7 +10,8 @@ Cumulative sums are taken in two steps: sums of (source, bucket), 4096 buckets o
 running sum inside a bucket. So one source may hold most rows, and no task sees a whole source.
 
 Defined results: a null text has size 0 and takes nothing; the null source is a source, the last; rows that
-tie in hash order, id and size are interchangeable; an empty table gives an empty mix. The last copy that a
+tie in hash order, id and size are interchangeable; an empty table gives an empty mix; new columns stand under a prefix, in
+which a clashing name of the input would be replaced. The last copy that a
 source's target reaches is taken in part: at most one document a source.
 """
 
@@ -102,7 +103,8 @@ def plan(df: DataFrame, size: str = "size", doc_id: str = "doc_id", source: str
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in training order, each as many times as the mix takes it."""
+    """The documents in training order, each as many times as the mix takes it: a copy taken in part counts from half of
+    it on, and documents without words, of which the mix takes nothing, don't come."""
     sized = docs.withColumn("mix_size", n_words(F.col("text")))
     out = plan(sized, size="mix_size").where("mix_copies > 0")
     out = out.select(*docs.columns, F.explode(F.slice("mix_positions", F.lit(1), F.col("mix_copies"))).alias("mix_position"))

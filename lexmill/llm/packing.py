@@ -7,7 +7,7 @@ emptiest windows' pieces fill the others, and a group's last window is cut into
 no padding. A window never holds more than LENGTH ids, so a group's size is bounded.
 
 Defined results: a null or empty text is the end id alone; repeated rows are packed as documents of their own;
-an empty table gives no pieces. Sequence ids are unique; they depend on how the input is split, pieces' ids don't.
+an empty table gives no pieces; only id and text are read, so other columns can't clash. Sequence ids are unique; they depend on how the input is split, pieces' ids don't.
 """
 
 from __future__ import annotations

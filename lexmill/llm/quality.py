@@ -1,7 +1,8 @@
 """Quality rules: a threshold table compiled into one projection of built-in functions.
 
-Defined results: a null or blank text has no words and fails; equal rows get equal verdicts; columns of the
-input are kept, and the metric columns are added under a prefix, so clashing names are not touched.
+Defined results: a null or blank text has no words and fails; equal rows get equal verdicts; an empty table gives an empty
+one; very long texts are measured whole; columns of the input are kept, and the metric columns are added under a prefix, in
+which a clashing name of the input would be replaced.
 """
 
 from __future__ import annotations

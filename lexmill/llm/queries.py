@@ -21,6 +21,7 @@ ORACLES = {
     "op1_url_filter": url_filter.oracle,
     "op4_mixing": mixing.oracle,
     "op7_quality_rules": quality.oracle,
+    "op10_line_dedup": line_dedup.oracle,
 }
 
 

@@ -6,7 +6,8 @@ Bloom filters exclude an id. Each row keeps its part (file), its token offset in
 corpus offset of a document follows from sums over parts, of which there are as many as files.
 
 Defined results: a null or empty text is the end id alone; null ids come first; equal ids stand next to each
-other, in the order of their texts' hashes; an empty table gives files without rows.
+other, in the order of their texts' hashes; an empty table gives files without rows; only id and text are read, so other columns can't
+clash.
 """
 
 from __future__ import annotations

@@ -1,23 +1,29 @@
-"""Toxicity: a support vector machine on a subsequence string kernel, with Nyström landmarks.
+"""Toxicity: a support vector machine on a subsequence string kernel, with Nyström landmarks, trained on labelled sentences.
 
-Units are a sentence's words, without marks inside them, and runs of letters set apart by spaces. The kernel of two
-units counts common subsequences of three characters, each occurrence weighted by DECAY to the length it
+A sentence is a bag of units: its words, without marks inside them, and runs of letters set apart by spaces. The kernel of
+two units counts common subsequences of three characters, each occurrence weighted by DECAY to the length it
 spans, up to SPAN characters, and is normalised. So an insult with characters put in or left out stays close to it.
 Kernel values against landmark units, times the inverse root of the landmarks' own kernel matrix, are the
-features of a linear machine trained on labelled sentences: a unit that many distinct sentences of toxic
-documents hold, and nearly none of others, witnesses for its sentence (labels are by document). The machine's
-weights collapse into one table over three-character codes, which scores a unit without visiting the landmarks.
-A sentence scores as its highest unit, a document as its highest sentence; a logistic curve makes it 0 to 1.
-
-Training takes at most SAMPLE labelled documents of each class, the first in a hash order: a documented bound.
-Scoring reads every whole text. Defined results: a null or empty text has the floor score; equal texts score alike;
-with no labels of one class, every score is the share of toxic labels (0 without labels).
+features of a linear machine (squared hinge loss, solved in the primal by Newton steps).
+
+Training rows are the units of labelled sentences, each with its sentence's label, which is its document's. Most sentences of
+a toxic document are clean, so the first machine weighs clean rows CLEAN times as heavy as toxic ones; each later one
+takes, of every toxic document, only the sentence that the machine before found most toxic, by its highest unit (multiple-
+instance learning), with copies of that unit that have a character put in or left out, against the highest unit of each
+clean sentence (in any round so far) and all units of clean sentences. Its landmarks are such units of both kinds. The machine's weights collapse into one table over
+three-character codes, which scores a unit without visiting the landmarks. A sentence scores as its highest unit, a
+document as its highest sentence; a logistic curve makes it 0 to 1.
+
+Training takes at most SAMPLE labelled documents of each class, the first in a hash order, and LANDMARKS landmarks of
+each kind: documented bounds. All units of those documents are rows. Scoring reads every whole text, and units of any length.
+Defined results: a null or empty text has the floor score, as have texts whose units all stay under FLOOR; equal texts score
+alike; repeated rows stay as many as they are; an empty table gives an empty one; with no labels of one class, every
+score is the share of toxic labels (0 without labels); a score column whose name is taken gets "_" put behind it.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -26,16 +32,18 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import table
+from lexmill.llm.common import free, table
 
 SAMPLE = 1500  # labelled documents of each class
-LANDMARKS = 48  # of each kind: witnesses, others
-NEGATIVES = 4000  # units of clean documents that train the machine at first
-MINING = 4  # rounds in which the hardest clean units join them
+LANDMARKS = 96  # of each kind: of toxic sentences, of clean ones
+ROUNDS = 4  # in which each toxic document's most toxic sentence is chosen anew
+CLEAN = 20.0  # times as heavy as toxic rows, while every sentence of a toxic document counts as toxic
+VARIED = 0.5  # share of a toxic row's weight that its varied copies have
+SPREAD = 0.2  # share of the clean weight that all units of clean sentences have, whatever they score
+FIRST_PENALTY, PENALTY = 1e-6, 1e-3  # of the first machine, of the later ones
 DECAY = 0.6
 SPAN = 7
-WIDTH = 32  # characters; longer units are scored in overlapping parts
-BLOCK = 500  # units whose features are dense at once
+WIDTH = 32  # characters; longer units are scored one by one
 FLOOR = -0.9  # the least decision value that is told apart
 TABLE = 400_000  # entries of the table of scored units
 HOLD = 5  # of which remainder 0 is held out
@@ -74,40 +82,90 @@ def norm(f: dict[bytes, float]) -> float:
     return sum(x * x for x in f.values()) ** 0.5
 
 
-def kernel(left: list[bytes], right: list[bytes]) -> np.ndarray:
-    """Normalised kernel matrix; units of fewer than three characters are orthogonal to all."""
-    codes: dict[bytes, int] = {}
-    for u in right:
-        for c in phi(u):
-            codes.setdefault(c, len(codes))
+class Landmarks:
+    """Normalised kernel values of units against landmarks; units of fewer than three characters are orthogonal to all."""
 
-    def dense(some: list[bytes]) -> np.ndarray:
-        """Over the codes of the right side only: others meet no weight there."""
-        out = np.zeros((len(some), max(1, len(codes))), dtype=np.float32)
-        for k, u in enumerate(some):
+    def __init__(self, marks: list[bytes]):
+        letters = sorted({b for u in marks for b in u})
+        self.size = len(letters) + 1
+        self.classes = np.zeros(256, dtype=np.int64)
+        self.classes[letters] = np.arange(1, self.size)
+        #: A row for each code that some landmark has; all others share the first, of zeros.
+        self.at = np.zeros(self.size**3, dtype=np.int64)
+        rows = [np.zeros(len(marks), dtype=np.float32)]
+        for k, u in enumerate(marks):
             f = phi(u)
-            if n := norm(f):
-                for c, x in f.items():
-                    if c in codes:
-                        out[k, codes[c]] = x / n
+            n = norm(f)
+            for c, x in f.items():
+                x1, x2, x3 = self.classes[list(c)]
+                code = (x1 * self.size + x2) * self.size + x3
+                if not self.at[code]:
+                    self.at[code] = len(rows)
+                    rows.append(np.zeros(len(marks), dtype=np.float32))
+                rows[self.at[code]][k] = x / n
+        self.rows = np.vstack(rows)
+
+    def values(self, some: list[bytes], root: np.ndarray | None = None) -> np.ndarray:
+        """A row for each unit, times root where one is given."""
+        out = np.zeros((len(some), self.rows.shape[1]), dtype=np.float32)
+        by: dict[int, list[int]] = defaultdict(list)
+        for k, u in enumerate(some):
+            if len(u) >= 3:
+                by[len(u)].append(k)
+        for n, all_ in by.items():
+            spots = [(i, i + a, i + a + b, DECAY ** (a + b + 1)) for a, b in _STEPS for i in range(n - a - b)]
+            first, mid, last, w = (np.asarray(x) for x in zip(*spots, strict=True))
+            for at in range(0, len(all_), max(1, 200_000 // len(spots))):
+                own = all_[at : at + max(1, 200_000 // len(spots))]
+                raw = np.frombuffer(b"".join(some[k] for k in own), dtype=np.uint8).reshape(-1, n).astype(np.int64)
+                own_code = (raw[:, first] << 16) | (raw[:, mid] << 8) | raw[:, last]
+                order = np.argsort(own_code, axis=1, kind="stable")
+                ordered, weights = np.take_along_axis(own_code, order, 1), w[order]
+                ends = np.hstack((ordered[:, 1:] != ordered[:, :-1], np.ones((len(own), 1), dtype=bool)))
+                sums = np.diff(np.concatenate(([0.0], np.cumsum(weights.ravel())[np.flatnonzero(ends.ravel())])))
+                square = np.bincount(np.nonzero(ends)[0], sums**2, minlength=len(own))
+                c = self.classes[raw]
+                rows = self.at[(c[:, first] * self.size + c[:, mid]) * self.size + c[:, last]]
+                dots = np.zeros((len(own), self.rows.shape[1]), dtype=np.float32)
+                for j, x in enumerate(w):
+                    dots += np.float32(x) * self.rows[rows[:, j]]
+                dots /= np.sqrt(square).astype(np.float32)[:, None]
+                out[own] = dots if root is None else dots @ root
         return out
 
-    across = dense(right).T
-    blocks = [dense(left[at : at + BLOCK]) @ across for at in range(0, len(left), BLOCK)]
-    return np.vstack(blocks or [np.zeros((0, len(right)))]).astype(np.float64)
-
 
-def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 2500, reg: float = 1e-5) -> tuple[np.ndarray, float]:
-    """Linear machine by full subgradient steps (hinge loss, each row at its cost), averaged over the last half."""
-    x1 = np.hstack([x, np.ones((len(x), 1))])
-    w, mean = np.zeros(x1.shape[1]), np.zeros(x1.shape[1])
-    for t in range(1, steps + 1):
-        hurt = y * (x1 @ w) < 1
-        w -= 20.0 / (1 + t * 0.02) * (reg * w - (cost * y * hurt) @ x1)
-        if t > steps // 2:
-            mean += w
-    mean /= steps - steps // 2
-    return mean[:-1], float(mean[-1])
+def _svm(x: np.ndarray, toxic: np.ndarray, clean: np.ndarray, penalty: float) -> np.ndarray:
+    """Weights (the offset last) that minimise penalty |w|^2 + the squared hinge losses of the rows, each taken as toxic and
+    as clean at these costs: Newton steps over the rows inside their margin, halved until the loss falls."""
+    ridge = np.full(x.shape[1] + 1, penalty)
+    ridge[-1] = 1e-9
+    w = np.zeros(x.shape[1] + 1)
+
+    def loss(v: np.ndarray) -> tuple[float, np.ndarray]:
+        f = x @ v[:-1].astype(np.float32) + v[-1]
+        f = f.astype(np.float64)
+        return float(ridge @ v**2 + (toxic * np.maximum(0, 1 - f) ** 2 + clean * np.maximum(0, 1 + f) ** 2).sum()), f
+
+    now, f = loss(w)
+    for _ in range(40):
+        a, b = toxic * (f < 1), clean * (f > -1)
+        g, h = 2 * ridge * w, 2 * np.diag(ridge)
+        inside = np.flatnonzero(a + b)
+        for at in range(0, len(inside), 8192):
+            k = inside[at : at + 8192]
+            z = np.hstack((x[k].astype(np.float64), np.ones((len(k), 1))))
+            g += 2 * z.T @ (a[k] * (f[k] - 1) + b[k] * (f[k] + 1))
+            h += 2 * (z * (a + b)[k, None]).T @ z
+        step, size = np.linalg.solve(h + 1e-10 * np.eye(len(w)), g), 1.0
+        while size > 1e-4:
+            then, f2 = loss(w - size * step)
+            if then < now:
+                break
+            size /= 2
+        if size <= 1e-4 or now - then < 1e-7 * now:
+            break
+        w, now, f = w - size * step, then, f2
+    return w
 
 
 def _logistic(m: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -161,14 +219,15 @@ class Model:
 
     def decide(self, some: list[bytes]) -> list[float]:
         """Decision values, FLOOR at least. A bound from the least norm spares most units the exact value."""
-        parts, owner = [], []
-        for k, u in enumerate(some):
-            for at in range(0, max(1, len(u) - WIDTH // 2), WIDTH // 2):
-                parts.append(u[at : at + WIDTH])
-                owner.append(k)
         out = [FLOOR] * len(some)
-        for at in range(0, len(parts), 20_000):
-            block = parts[at : at + 20_000]
+        short = []
+        for k, u in enumerate(some):
+            if len(u) <= WIDTH:
+                short.append(k)
+            else:
+                out[k] = max(FLOOR, self._exact(u))
+        for at in range(0, len(short), 20_000):
+            block = [some[k] for k in short[at : at + 20_000]]
             c = self.classes[np.frombuffer(b"".join(p.ljust(WIDTH, b"\0") for p in block), dtype=np.uint8).reshape(-1, WIDTH)]
             dot = np.zeros(len(block))
             for a, b in _STEPS:
@@ -176,7 +235,7 @@ class Model:
                 dot += DECAY ** (a + b + 1) * self.table[code].sum(axis=1)
             bound = dot / self.least[[len(p) for p in block]] + self.offset
             for k in np.flatnonzero((bound > FLOOR) & (dot > 0)):
-                out[owner[at + k]] = max(out[owner[at + k]], self._exact(block[k]))
+                out[short[at + k]] = max(FLOOR, self._exact(block[k]))
         return out
 
     def decisions(self, texts: list[bytes]) -> np.ndarray:
@@ -199,39 +258,63 @@ def _variants(unit: bytes) -> list[bytes]:
     return [unit, *(unit[:k] + b"x" + unit[k:] for k in range(1, len(unit))), *(unit[:k] + unit[k + 1 :] for k in range(1, len(unit) - 1) if len(unit) > 4)]
 
 
+def machine(marks: list[bytes], units_: list[bytes], toxic: np.ndarray, clean: np.ndarray, penalty: float | None = None) -> tuple[Model, np.ndarray]:
+    """The machine over these landmarks, of rows with these costs as toxic and as clean; and the rows' decision values."""
+    held = Landmarks(marks)
+    value, vector = np.linalg.eigh(held.values(marks).astype(np.float64))
+    root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-4))) @ vector.T
+    rows = held.values(units_, root.astype(np.float32))
+    w = _svm(rows, toxic, clean, PENALTY if penalty is None else penalty)
+    weights: dict[bytes, float] = defaultdict(float)
+    for a, u in zip(root @ w[:-1], marks, strict=True):
+        f = phi(u)
+        n = norm(f)
+        for c, x in f.items():
+            weights[c] += a * x / n
+    return Model(dict(weights), float(w[-1])), rows @ w[:-1].astype(np.float32) + w[-1]
+
+
+def _sentences(texts: list[bytes]) -> list[list[set[bytes]]]:
+    """The units of each text's sentences; units of fewer than three characters have no kernel."""
+    split = [[s for s in _SENTENCE.split(t) if s.strip()] for t in texts]
+    return [[got for s in own if (got := {u for u in units(s) if len(u) >= 3})] for own in split]
+
+
 def train(toxic: list[str], clean: list[str], share: float = 0.5) -> Model:
     """share: of toxic documents among all labelled ones, for the logistic curve."""
     if not toxic or not clean:
         return Model({}, FLOOR, constant=float(share) if toxic or clean else 0.0)
     tox, cln = [fold(t) for t in toxic], [fold(t) for t in clean]
-    sentences = [{s for t in texts for s in _SENTENCE.split(t) if s.strip()} for texts in (tox, cln)]
-    seen = [Counter(u for s in own for u in units(s) if len(u) >= 3) for own in sentences]
-    scale = len(sentences[0]) / max(1, len(sentences[1]))
-    strong = sorted((-n, u) for u, n in seen[0].items() if n >= max(3, 0.01 * len(tox)) and n > 20 * seen[1][u] * scale)
-    witnesses = [u for _, u in strong[:LANDMARKS]]
-    if not witnesses:
+    bags, plain = _sentences(tox), _sentences(cln)
+    bad, good = (Counter(u for own in some for s in own for u in s) for some in (bags, plain))
+    if not bad or not good:
         return Model({}, FLOOR, constant=float(share))
-    others = sorted(seen[1], key=lambda u: (zlib.crc32(u), u))
-    spelt = [v for u in witnesses for v in _variants(u)[1:]]
-    neg, hard = others[:NEGATIVES], others[:LANDMARKS]
-    for _ in range(MINING):
-        # landmarks: the witnesses, and the clean units that the last machine found hardest
-        marks = witnesses + hard[: 4 * LANDMARKS]
-        value, vector = np.linalg.eigh(kernel(marks, marks))
-        root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-4))) @ vector.T
-        rows = kernel(witnesses + spelt + neg, marks) @ root
-        y = np.array([1.0] * (len(witnesses) + len(spelt)) + [-1.0] * len(neg))
-        cost = np.array([0.4 / len(witnesses)] * len(witnesses) + [0.1 / max(1, len(spelt))] * len(spelt) + [0.5 / len(neg)] * len(neg))
-        w, offset = _svm(rows, y, cost)
-        weights: dict[bytes, float] = defaultdict(float)
-        for a, u in zip(root @ w, marks, strict=True):
-            f = phi(u)
-            for c, x in f.items():
-                weights[c] += a * x / norm(f)
-        model = Model(dict(weights), offset)
-        ranked = sorted((-f, u) for f, u in zip(model.decide(others), others, strict=True) if f > FLOOR)
-        hard = [u for _, u in ranked[: NEGATIVES // 4]]
-        neg = neg + sorted(set(hard).difference(neg))
+    listed = sorted(set(bad) | set(good))
+    place = {u: k for k, u in enumerate(listed)}
+    as_clean = np.array([good[u] for u in listed], dtype=np.float64) / sum(good.values())
+    as_toxic = np.array([bad[u] for u in listed], dtype=np.float64) / sum(bad.values())
+    rank = lambda cost: [listed[k] for k in np.argsort(-cost, kind="stable")[:LANDMARKS]]
+    marks = list(dict.fromkeys([*rank(as_toxic - CLEAN * as_clean), *rank(as_clean)]))
+    model, found = machine(marks, listed, as_toxic, CLEAN * as_clean, FIRST_PENALTY)
+    nearest = Counter()  # units that some clean sentence scored by, in any round
+    for _ in range(ROUNDS):
+        value = dict(zip(listed, found.tolist(), strict=False))
+        by = lambda u: (value[u], u)
+        # of each toxic document the sentence that is most toxic, by its highest unit; of each clean sentence its highest unit
+        chosen = Counter(max(max(own, key=lambda s: max(value[u] for u in s)), key=by) for own in bags if own)
+        nearest.update(max(s, key=by) for own in plain for s in own)
+        varied = Counter()
+        for u, n in chosen.items():
+            copies = _variants(u)[1:]
+            for v in copies:
+                varied[v] += VARIED * n / len(copies)
+        extra = [v for v in varied if v not in place]
+        rows = listed + extra
+        cost = np.array([chosen[u] * (1 - VARIED) + varied[u] for u in rows]) / sum(chosen.values())
+        near = np.array([nearest[u] for u in listed]) / sum(nearest.values())
+        hard = [u for u, _ in sorted(nearest.items(), key=lambda x: (-x[1] * max(1e-9, 1 + value[x[0]]) ** 2, x[0]))[:LANDMARKS]]
+        marks = list(dict.fromkeys([*(u for u, _ in sorted(chosen.items(), key=lambda x: (-x[1], x[0]))[:LANDMARKS]), *hard]))
+        model, found = machine(marks, rows, cost, np.concatenate(((1 - SPREAD) * near + SPREAD * as_clean, np.zeros(len(extra)))))
     m = model.decisions(tox + cln)
     y = np.array([1.0] * len(tox) + [0.0] * len(cln))
     model.slope, model.shift = _logistic(m, y, np.where(y > 0, share / len(tox), (1 - share) / len(cln)) * len(y))
@@ -262,7 +345,7 @@ def score(df: DataFrame, model: Model, text: str = "text", to: str = "score") ->
             folded = [fold(t) for t in s]
             yield pd.Series(np.concatenate([own.scores(own.decisions(folded[at : at + 256])) for at in range(0, len(folded), 256)]) if folded else [], dtype="float64")
 
-    return df.withColumn(to, run(F.col(text)))
+    return df.withColumn(free(df, to), run(F.col(text)))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

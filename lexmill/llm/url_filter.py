@@ -1,13 +1,14 @@
 """URL filters: a blocked Bloom filter of listed canonical URLs, then an exact hash join.
 
 A listed entry is `host/path`; it fits its host, that host's subdomains, and the paths that start with its
-path. A page's keys are the pairs of its host's suffixes with its path's prefixes (of lengths that occur in
-the list). Keys pass a filter of 256-bit blocks; those that may be listed meet the list in a hash join, which
+path. A page's keys are the pairs of its host's suffixes (of up to as many labels as any listed host has) with its path's
+prefixes (of lengths that occur in the list). Keys pass a filter of 256-bit blocks; those that may be listed meet the list in a hash join, which
 removes the filter's errors. The filter is broadcast: its size is set from the list's count and never exceeds
 MAX_BLOCKS rows; beyond that its error rate rises, not its size, and the join still decides.
 
-Defined results: a null url, or one without `://`, has empty host and path and no keys; equal rows stay as
-many as they were; an empty list lets all pass.
+Defined results: a null url, or one without `://`, has empty host and path and no keys; very long hosts and paths are kept
+whole, and give no more keys than the list can match; equal rows stay as many as they were; an empty list lets all pass; an
+empty table gives an empty one; a result column whose name is taken gets "_" put behind it.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import table
+from lexmill.llm.common import free, table
 
 BITS_PER_KEY = 12
 MAX_BLOCKS = 1 << 18
@@ -25,8 +26,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: The contract's rules: they decide before the list does.
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
-#: The list that the query passes: advertising hosts, each under three ends.
-LISTED = tuple(f"{name}.example.{end}/" for name in ("casino-win", "cheap-pills", "free-bets", "spam-farm") for end in ("com", "net", "org"))
+#: The list that the query passes, by rule: every pair of a lure and a ware as an advertising host, under three ends.
+LURES, WARES = ("casino", "cheap", "free", "instant", "lucky", "magic", "secret", "spam"), ("bets", "cash", "farm", "loans", "pills", "prizes", "watches", "win")
+LISTED = tuple(f"{lure}-{ware}.example.{end}/" for lure in LURES for ware in WARES for end in ("com", "net", "org"))
 
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -67,13 +69,15 @@ def judge(pages: DataFrame, listed: DataFrame, keep: list[str], url: str = "url"
     """keep columns, host, path, rule (a fitting tier-1 entry) and verdict (the rule's, else the list's, else allow)."""
     listed = listed.where("entry IS NOT NULL").dropDuplicates(["entry", "tier"])
     path_len = F.length("entry") - F.instr(F.col("entry"), "/") + 1
-    n, lengths = listed.agg(F.count("*"), F.collect_set(path_len)).first()  # a number, and lengths of paths
+    deep = F.size(F.split(F.substring_index("entry", "/", 1), r"\."))
+    n, lengths, depth = listed.agg(F.count("*"), F.collect_set(path_len), F.coalesce(F.max(deep), F.lit(0))).first()  # numbers, and lengths of paths
     blocks = max(1, min(MAX_BLOCKS, -(-n * BITS_PER_KEY // 256)))
     labels = F.split("host", r"\.")
-    suffixes = F.when(F.col("host") == "", F.array().cast("array<string>")).otherwise(F.transform(labels, lambda _, i: F.array_join(F.slice(labels, i + 1, F.size(labels)), ".")))
+    none = F.array().cast("array<string>")
+    suffixes = F.when((F.col("host") == "") | F.lit(depth == 0), none).otherwise(F.transform(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(max(1, depth)))), lambda k: F.array_join(F.slice(labels, -k, k), ".")))
     prefixes = F.transform(F.filter(F.array(*map(F.lit, sorted(lengths))).cast("array<int>"), lambda k: k <= F.length("path")), lambda k: F.substring("path", F.lit(1), k))
     keys = F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda q: F.concat(s, q))))
-    own = pages.select(*keep, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    own = pages.select(F.struct(*keep).alias("kept"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     # the null key stands for the row itself
     asked = own.withColumn("key", F.explode(F.concat(F.array(F.lit(None).cast("string")), keys)))
     asked = asked.withColumns({"block": _block(F.col("key"), blocks)} | {f"m{i}": m for i, m in enumerate(_masks(F.col("key")))})
@@ -81,15 +85,16 @@ def judge(pages: DataFrame, listed: DataFrame, keep: list[str], url: str = "url"
     may = F.lit(True)
     for i in range(4):
         may = may & (F.col(f"w{i}").bitwiseAND(F.col(f"m{i}")) == F.col(f"m{i}"))
-    passed = passed.where(F.col("key").isNull() | may).select(*keep, "host", "path", "key")
+    passed = passed.where(F.col("key").isNull() | may).select("kept", "host", "path", "key")
     exact = listed.withColumnRenamed("entry", "key")
     exact = F.broadcast(exact) if n <= BROADCAST_ENTRIES else exact.hint("shuffle_hash")
     met = passed.join(exact, "key", "left")
     best = F.max(F.when(F.col("tier").isNotNull(), F.struct(F.col("tier"), F.length("key").alias("n"), F.col("key").alias("entry"), F.col("verdict"))))
-    out = met.groupBy(*keep, "host", "path").agg(best.alias("best"), F.count_if(F.col("key").isNull()).alias("times"))
+    out = met.groupBy("kept", "host", "path").agg(best.alias("best"), F.count_if(F.col("key").isNull()).alias("times"))
     out = out.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
     rule = F.when(F.col("best.tier") == 1, F.col("best.entry"))
-    return out.select(*keep, "host", "path", rule.alias("rule"), F.coalesce("best.verdict", F.lit("allow")).alias("verdict"))
+    name = lambda x: free(pages.select(*keep), x)
+    return out.select("kept.*", F.col("host").alias(name("host")), F.col("path").alias(name("path")), rule.alias(name("rule")), F.coalesce("best.verdict", F.lit("allow")).alias(name("verdict")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

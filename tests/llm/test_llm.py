@@ -218,6 +218,238 @@ def test_toxicity_tolerates_changes():
     assert high("you blockhead there") >= 0.5 > high("you river there") and high("") < 0.5
 
 
+def naive_kernel(a, b):
+    """Common subsequences of three characters, by all triples of places."""
+    from itertools import combinations
+
+    def weights(u):
+        out = {}
+        for i, j, k in combinations(range(len(u)), 3):
+            if k - i < toxicity.SPAN:
+                out[u[i], u[j], u[k]] = out.get((u[i], u[j], u[k]), 0.0) + toxicity.DECAY ** (k - i + 1)
+        return out
+
+    x, y = weights(a), weights(b)
+    dot = lambda p, q: sum(v * q.get(c, 0.0) for c, v in p.items())
+    return dot(x, y) / (dot(x, x) * dot(y, y)) ** 0.5 if x and y else 0.0
+
+
+def test_string_kernel_against_all_triples():
+    some = [b"idiot", b"id1ot", b"i.d.i.o.t", b"aaaa", b"abc", b"ab", b"clown", "r\xe9seau".encode("latin-1"), b"worthless" * 5]
+    got = toxicity.Landmarks(some).values(some)
+    want = np.array([[naive_kernel(a, b) for b in some] for a in some])
+    assert np.abs(got - want).max() < 1e-5
+    # scores by the table over codes agree with the machine's own values, also for units longer than a table row
+    model, values = toxicity.machine(some[:4], some, np.array([1.0, 1, 1] + [0.0] * 6), np.array([0.0] * 3 + [1.0] * 6))
+    keep = values > toxicity.FLOOR
+    assert np.abs(np.array(model.decide(some))[keep] - values[keep]).max() < 1e-3
+
+
+def test_toxicity_query_learns_from_labels(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    plain = [f"word{chr(97 + a)}{chr(97 + b)}" for a in range(12) for b in range(12)]
+    say = lambda: " ".join(rng.choice(plain, 8))
+    docs = [(k, f"{say()}. {say()} {'you blockhead' if k % 4 == 0 else 'you'} {say()}. {say()}", "s") for k in range(400)] + [(1001, None, "s"), (1002, "", "s"), (1003, "a b.l-o.c.k.h.e.a.d", "s"), (1003, "x" * 50_000, "s")]
+    spark.createDataFrame(docs, "doc_id long, text string, score string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(400)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = toxicity.query(spark, str(tmp_path)).collect()
+    assert len(rows) == len(docs)
+    got = {r["doc_id"]: r for r in rows if r["doc_id"] != 1003}
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and r["predicted"] == (r["score"] >= 0.5) and 0 <= r["score"] <= 1 for r in rows)
+    held = [k for k in range(400) if got[k]["held_out"]]
+    assert sum(got[k]["predicted"] == (k % 4 == 0) for k in held) >= 0.95 * len(held)
+    assert got[1001]["score"] == got[1002]["score"] < 0.5
+    assert sorted(r["predicted"] for r in rows if r["doc_id"] == 1003) == [0, 1]
+
+
+def tables(spark, path, **own):
+    for name, df in own.items():
+        df.write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def test_media_query_against_the_texts(spark, edge, tmp_path):
+    more = edge.unionByName(spark.createDataFrame([(k, ("TAG" * 300)[:k], "s", "clash", "clash", "clash") for k in range(100, 190)], edge.schema))
+    want = sorted((r["doc_id"] or 0, len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:])) for r in more.collect() for raw in [(r["text"] or "").encode()] for p in [media.pad(raw)])
+    rows = media.query(spark, tables(spark, tmp_path, documents=more)).collect()
+    assert sorted((r["doc_id"] or 0, r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) for r in rows) == want
+    for r in rows:
+        stored = media.encode(next((x["text"] or "").encode() for x in more.where(F.col("doc_id").eqNullSafe(r["doc_id"])).collect())) if r["doc_id"] in (5, 120) else None
+        assert stored is None or (r["media_bytes"], r["media_sha256"]) == (len(stored), hashlib.sha256(stored).hexdigest())
+
+
+def library(file, end):
+    tok = Tokenizer.from_file(public_tokenizers.path(file))
+    return lambda text: [*tok.encode(text or "", add_special_tokens=False).ids, end]
+
+
+def special(spark, edge):
+    return edge.unionByName(spark.createDataFrame([(70, "<|endoftext|> x <|startoftext|>", "s", "", "", ""), (71, " lead  and\ttabs ", "s", "", "", "")], edge.schema))
+
+
+def test_packing_query_against_the_library(spark, edge, tmp_path):
+    docs = special(spark, edge)
+    ids = library("byte_bpe_50k.json", 0)
+    want = {}
+    for r in docs.collect():
+        want.setdefault(r["doc_id"], []).append(ids(r["text"]))
+    pieces, sequences = {}, {}
+    for r in packing.query(spark, tables(spark, tmp_path, documents=docs)).collect():
+        pieces.setdefault(r["doc_id"], []).append(r)
+        sequences.setdefault(r["sequence_id"], []).append(r)
+    assert set(pieces) == set(want)
+    for doc, own in pieces.items():
+        texts = want[doc]  # rows that repeat an id have the same text here
+        spots = {}
+        for r in own:
+            assert r["doc_tokens"] == len(texts[0])
+            spots.setdefault(r["start"], []).append((r["length"], r["ids_crc32"]))
+            part = np.asarray(texts[0][r["start"] : r["start"] + r["length"]], dtype="<u4")
+            assert zlib.crc32(part.tobytes()) == r["ids_crc32"] and len(part) == r["length"]
+        assert sum(r["length"] for r in own) == sum(map(len, texts))
+        at = np.zeros(len(texts[0]) + 1, dtype=int)
+        for r in own:
+            at[r["start"]] += 1
+            at[r["start"] + r["length"]] -= 1
+        assert set(np.cumsum(at)[:-1]) == {len(texts)}  # each id lies in one piece of each of its rows
+    for own in sequences.values():
+        ends = 0
+        for r in sorted(own, key=lambda r: r["offset"]):
+            assert r["offset"] == ends
+            ends += r["length"]
+        assert ends <= 1024
+
+
+def test_best_fit_takes_the_tightest_window():
+    packer = packing.Packer(10, 2)
+    piece = lambda d, n: packing.Piece(d, 0, bytes(4 * n), n)
+    assert not list(packer.add(piece(1, 6))) and not list(packer.add(piece(2, 5)))
+    assert [[(p.doc_id, len(p)) for p in w] for w in packer.add(piece(3, 4))] == [[(1, 6), (3, 4)]]  # 4 are free there, 5 beside
+    assert not list(packer.add(piece(4, 7)))
+    # none fits: the fullest is filled by a cut and leaves
+    assert [[(p.doc_id, p.start, len(p)) for p in w] for w in packer.add(piece(5, 9))] == [[(4, 0, 7), (5, 0, 3)]]
+
+
+def test_token_query_against_the_library(spark, edge, tmp_path):
+    docs = special(spark, edge)
+    ids = library("word_bpe_49k.json", 1)
+    rows = sorted(token_orc.query(spark, tables(spark, tmp_path, documents=docs)).collect(), key=lambda r: r["start"])
+    made = [(r["doc_id"], ids(r["text"])) for r in docs.collect()]
+    crc = lambda x: zlib.crc32(np.asarray(x, dtype="<u4").tobytes())
+    assert sorted((r["doc_id"] or 0, r["n_tokens"], r["ids_crc32"]) for r in rows) == sorted((d or 0, len(x), crc(x)) for d, x in made)
+    assert [r["doc_id"] or 0 for r in rows] == sorted(d or 0 for d, _ in made)
+    assert [r["start"] for r in rows] == [sum(r["n_tokens"] for r in rows[:k]) for k in range(len(rows))]
+
+
+def test_orc_files_skip_by_metadata(spark, tmp_path):
+    from pyarrow import orc
+
+    docs = spark.range(0, 20_000, 2).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words "), F.col("id").cast("string")).alias("text"))
+    path = str(tmp_path / "o")
+    token_orc.write_ids(docs.repartition(1), path, public_tokenizers.path("word_bpe_49k.json"))
+    found = sorted(tmp_path.glob("o/*.orc"))
+    assert sum(orc.ORCFile(str(f)).nrows for f in found) == 10_000
+    for f in found:
+        file = orc.ORCFile(str(f))
+        assert file.row_index_stride == token_orc.ROWS_IN_GROUP and file.nstripes >= 1
+        ids = [x for k in range(file.nstripes) for x in file.read_stripe(k, columns=["doc_id"]).column(0).to_pylist()]
+        assert ids == sorted(ids)  # stripes are read one by one
+    read = token_orc.read_ids(spark, path)
+    plan = read.where("doc_id = 4242")._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,4242)]" in plan
+    # an id that no row has, inside every range: its row groups are told by the Bloom filters
+    assert read.where("doc_id = 4242").count() == 1 and read.where("doc_id = 4243").count() == 0
+
+
+def test_licenses_against_a_plain_search(spark, edge, tmp_path):
+    rng = np.random.default_rng(6)
+    parts = ["under the MIT license", "Apache License, version 2", "cc-by-nc", "cc by", "the", "ünder", "MIT", "license", "1", "version 2"]
+    docs = edge.select("doc_id", "text").unionByName(spark.createDataFrame([(1000 + k, " ".join(rng.choice(parts, rng.integers(1, 40)))) for k in range(60)], "doc_id long, text string"))
+
+    def plain(text):
+        low = "".join(c.lower() if c.isascii() else c for c in text or "")
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+        hits = [(i, label) for phrase, label in licenses.BASE.items() for i in range(len(w)) if w[i : i + len(phrase.split())] == phrase.split()]
+        return len(w), len(hits), min((i for i, _ in hits), default=None), max((i for i, _ in hits), default=None), ",".join(sorted({x for _, x in hits}))
+
+    key = lambda r: (r["doc_id"] or 0, r["n_words"])
+    rows = sorted(licenses.query(spark, tables(spark, tmp_path, documents=docs)).collect(), key=key)
+    want = sorted(((r["doc_id"] or 0, *plain(r["text"])) for r in docs.collect()), key=lambda x: x[:2])
+    assert [(r["doc_id"] or 0, *(r[c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels"))) for r in rows] == want
+    assert all(set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1 for r in rows)
+    scan = licenses.Scanner().scan
+    assert scan(b"SPDX-License-Identifier: MIT\n GNU General Public License")[-1] == 0.8  # a notice beside an identifier counts
+
+
+def test_bloom_filter_of_many_blocks(spark):
+    listed = spark.range(6000).select(F.format_string("h%d.example.net/p%d", "id", F.col("id") % 3).alias("entry"), F.lit("block").alias("verdict"), F.lit(0).alias("tier"))
+    urls = [(k, f"http://{'a.b.' * (k % 3)}H{k}.example.net/p{k % 4}/x") for k in range(0, 12_000, 7)]
+    pages = spark.createDataFrame([*urls, (-1, "http://" + "x." * 20_000 + "h3.example.net/p0"), (-2, None)], "page_id long, url string").withColumns({"host": F.lit("clash"), "key": F.lit("clash")})
+    blocks = url_filter.bloom_blocks(listed, 280)
+    assert blocks.count() > 200
+    rows = url_filter.judge(pages, listed, ["page_id", "host", "key"]).collect()
+    assert rows[0].asDict().keys() == {"page_id", "host", "key", "host_", "path", "rule", "verdict"}
+    got = {r["page_id"]: r["verdict"] for r in rows}
+    assert got == {**{k: "block" if k < 6000 and k % 4 == k % 3 else "allow" for k, _ in urls}, -1: "block", -2: "allow"}
+    # the filter alone lets some pass that the list doesn't hold; the join takes them out
+    keys = spark.range(20_000, 60_000).select(F.format_string("h%d.example.net/p0", "id").alias("key"))
+    asked = keys.withColumns({"block": url_filter._block(F.col("key"), 280)} | {f"m{i}": m for i, m in enumerate(url_filter._masks(F.col("key")))})
+    may = asked.join(blocks, "block")
+    for i in range(4):
+        may = may.where(F.col(f"w{i}").bitwiseAND(F.col(f"m{i}")) == F.col(f"m{i}"))
+    assert 0 < may.count() < 4000
+
+
+def test_empty_tables(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    path = tables(spark, tmp_path, documents=docs, labels=spark.createDataFrame([], "doc_id long, quality int, toxic int"), pages=spark.createDataFrame([], "page_id long, url string, html string"))
+    for name, run in queries.QUERIES.items():
+        assert run(spark, path).count() == 0, name
+    import corpus_pipeline
+
+    assert corpus_pipeline.run(spark, path).count() == 0
+
+
+def test_quality_stage_against_the_query(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = quality.stage(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in quality.query(spark, SF).where("kept").collect())
+
+
+def test_mixing_stage_takes_copies_in_order(spark):
+    docs = spark.createDataFrame([(k, " ".join(["w"] * (k % 5 + 1)), "abc"[k % 3]) for k in range(90)] + [(900, "", "a"), (901, None, None)], "doc_id long, text string, source string")
+    out = mixing.stage(spark, docs, SF)
+    assert out.columns == docs.columns
+    plan = {r["doc_id"]: r for r in mixing.plan(docs.withColumn("mix_size", mixing.n_words(F.col("text"))), size="mix_size").collect()}
+    n = {r["doc_id"]: r["n"] for r in out.groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    assert n == {d: r["mix_copies"] for d, r in plan.items() if r["mix_copies"]} and 900 not in n and 901 not in n
+    spots = {}
+    for d, r in plan.items():
+        spots.setdefault(d, list(r["mix_positions"][: r["mix_copies"]]))
+    order = [r["doc_id"] for r in out.collect()]
+    assert len(order) == sum(n.values())
+
+
+def test_pipeline_end_to_end(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, SF).collect(), docs.schema)
+        texts.append({(r["doc_id"], r["text"]) for r in docs.collect()})
+    kept, deduped, apart, mixed = texts
+    assert {d for d, _ in mixed} <= {d for d, _ in apart} <= {d for d, _ in deduped} <= {d for d, _ in kept}
+    # no two of the documents that stay have a similarity of 0.8
+    sets = [{" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for _, t in apart for w in [(t or "").lower().split()]]
+    assert not any(5 * len(a & b) >= 4 * len(a | b) for i, a in enumerate(sets) for b in sets[i + 1 :])
+    ids = library("byte_bpe_50k.json", 0)
+    rows = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert rows.agg(F.sum("length")).first()[0] == sum(len(ids(r["text"])) for r in docs.collect())
+    assert corpus_pipeline.run(spark, SF).agg(F.sum("length")).first()[0] == rows.agg(F.sum("length")).first()[0]
+
+
 def test_edges_keep_rows(spark, edge):
     n = len(EDGE)
     assert quality.judge(edge).count() == n and media.media_columns(edge).count() == n
