@@ -118,9 +118,10 @@ def requests(df: DataFrame, text: str = "text", configs: int = 3) -> DataFrame:
 def best_candidate(candidates: DataFrame, by: list[str], asked: str = "asked", reply: str = "reply", method: str = "method", order: str = "place", least: float = 0.4) -> DataFrame:
     """by, reply, method, coherence: of each request's candidates that pass reject_reason the most coherent (the first of
     equals), if it is coherent enough; else a fallback reply, method 'fallback'."""
-    judged = candidates.withColumns({"coherence": F.when(reject_reason(F.col(reply)) == "valid", T.word_cosine(F.col(asked), F.col(reply)))})
-    top = F.max_by(F.struct(F.col(reply).alias("reply"), F.col(method).alias("method"), "coherence"), F.when(F.col("coherence").isNotNull(), F.struct("coherence", (-F.col(order)).alias("o"))))
-    best = judged.groupBy(*by).agg(top.alias("top"), F.first(asked).alias("asked"))
+    # one struct, so that the coherence is made once a candidate; null, for those that fail, is the least
+    coherence = F.when(reject_reason(F.col(reply)) == "valid", T.word_cosine(F.col(asked), F.col(reply)))
+    top = F.max(F.struct(coherence.alias("coherence"), (-F.col(order)).alias("o"), F.col(reply).alias("reply"), F.col(method).alias("method")))
+    best = candidates.groupBy(*by).agg(top.alias("top"), F.first(asked).alias("asked"))
     good = F.coalesce(F.col("top.coherence") >= least, F.lit(False))
     return best.select(*by, F.when(good, F.col("top.reply")).otherwise(fallback(F.col("asked"))).alias("reply"), F.when(good, F.col("top.method")).otherwise("fallback").alias("method"), F.when(good, F.col("top.coherence")).alias("coherence"))
 
