@@ -41,7 +41,8 @@ def _any(text: Column, patterns) -> Column:
 def repetitive(text: Column) -> Column:
     """Some word equals the one after the next."""
     w = T.words(F.lower(text))
-    return F.exists(F.transform(w, lambda x, i: x == F.get(w, i + 2)), lambda x: F.coalesce(x, F.lit(False)))
+    # beside the words from the third on: a lambda that read w itself would split the text for each word
+    return F.exists(F.zip_with(w, F.slice(w, F.lit(3), F.size(w)), lambda x, y: F.coalesce(x == y, F.lit(False))), lambda x: x)
 
 
 def reject_reason(text: Column) -> Column:
