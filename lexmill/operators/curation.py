@@ -27,7 +27,9 @@ def chunks(df: DataFrame, text: str = "text", key: str = "doc_id", c=INGEST) ->
     starts = F.when(F.col("n") <= c.chunk_size, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("n") - 1, F.lit(stride)))
     cut = F.when(F.col("n") <= c.chunk_size, F.array(F.coalesce("whole", F.lit("")))).otherwise(F.transform(starts, lambda s: F.array_join(F.slice(F.col("w"), s + 1, c.chunk_size), " ")))
     kept = own.select(key, F.filter(cut, lambda x: F.length(T.strip(x)) >= c.min_chars).alias("kept"))
-    return kept.select(key, F.size("kept").alias("total_chunks"), F.posexplode("kept").alias("chunk_id", "chunk")).select(key, "chunk_id", "total_chunks", "chunk")
+    # the outer form infers no filter, which would be pushed below and chunk each text again
+    out = kept.select(key, F.size("kept").alias("total_chunks"), F.posexplode_outer("kept").alias("chunk_id", "chunk"))
+    return out.where("chunk_id IS NOT NULL").select(key, "chunk_id", "total_chunks", "chunk")
 
 
 def first_by_hash(df: DataFrame, text: str, order: str) -> DataFrame:
