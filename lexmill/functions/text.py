@@ -32,6 +32,11 @@ CLEANING = (
 EMPTY_SHAPES = (r"^[\s\-_=]{10,}$", r"^\d+\s*$", r"^[^\w\s]{5,}$")
 
 
+def once(value: Column, f) -> Column:
+    """f(value), with value made once however often f reads it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Without white space at either end, as \\s has it."""
     return F.regexp_replace(text, r"^\s+|\s+$", "")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,24 +41,47 @@ def first_by_hash(df: DataFrame, text: str, order: str) -> DataFrame:
     return first.select(order, "md5", "copies")
 
 
+def _domain_judge(domains: dict[str, tuple[str, ...]]):
+    """An Arrow-batched function of lower-cased text and file name: label and score of the best domain. One pass over a text
+    finds the keywords of all domains; built-in functions would need a pass for each of them."""
+    labels, owners = list(domains), {}
+    for d, keys in enumerate(domains.values()):
+        for k in filter(None, keys):
+            owners.setdefault(k, []).append(d)
+
+    @F.pandas_udf("label string, score int")
+    def judge(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        import ahocorasick
+
+        find = ahocorasick.Automaton()
+        for k, own in owners.items():
+            find.add_word(k, (k, len(k), own))
+        find.make_automaton()
+
+        def best(text: str, name: str) -> tuple[str, int]:
+            scores = [0] * len(labels)
+            for said, weight in ((text, 1), (name, 2)):
+                last: dict[str, int] = {}
+                for end, (k, n, own) in find.iter(said) if owners else ():
+                    if end - n >= last.get(k, -1):  # occurrences of one keyword don't overlap
+                        last[k] = end
+                        for d in own:
+                            scores[d] += weight
+            top = max(scores, default=0)
+            return (labels[scores.index(top)], top) if top else ("general", 0)
+
+        for texts, names in batches:
+            yield pd.DataFrame([best(x, y) for x, y in zip(texts, names, strict=True)], columns=["label", "score"])
+
+    return judge
+
+
 def domain_scores(df: DataFrame, text: str = "text", filename: Column | None = None, domains=None) -> DataFrame:
     """df with domain and domain_score: keyword occurrences, those in the file name twice; the first domain wins ties."""
-    low = {"domain_low": F.lower(F.coalesce(F.col(text), F.lit("")))}
-    if filename is not None:
-        low["domain_name"] = F.lower(F.coalesce(filename, F.lit("")))
-    df = df.withColumns(low)
-
-    def count(where: str, k: Column) -> Column:
-        # in bytes, which are known without a pass over the text
-        return ((F.octet_length(where) - F.octet_length(F.replace(F.col(where), k, F.lit("")))) / F.octet_length(k)).cast("int")
-
-    scores = []
-    for d, (label, keys) in enumerate((domains or KEYWORDS).items()):
-        found = lambda s, k: s + count("domain_low", k) + (2 * count("domain_name", k) if filename is not None else 0)
-        total = F.aggregate(F.array(*map(F.lit, keys)), F.lit(0), found)
-        scores.append(F.struct(total.alias("score"), F.lit(-d).alias("place"), F.lit(label).alias("label")))
-    best = df.withColumn("domain_best", F.array_max(F.array(*scores)))
-    return best.withColumns({"domain": F.when(F.col("domain_best.score") > 0, F.col("domain_best.label")).otherwise("general"), "domain_score": F.col("domain_best.score")}).drop("domain_best", *low)
+    low = lambda x: F.lower(F.coalesce(x, F.lit("")))
+    judge = _domain_judge(domains or KEYWORDS)
+    best = df.withColumn("domain_best", judge(low(F.col(text)), F.lit("") if filename is None else low(filename)))
+    return best.withColumns({"domain": F.col("domain_best.label"), "domain_score": F.col("domain_best.score")}).drop("domain_best")
 
 
 def pair_turns(df: DataFrame, conv: str = "conv_id", order: str = "turn", role: str = "role", text: str = "text") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-#: domain -> keywords; in declared order, which settles ties. Texts are lower-cased before they are searched, so
+#: Domain -> keywords; in declared order, which settles ties. Operators take another table as a parameter. Texts are lower-cased before they are searched, so
 #: keywords with capitals are never found in them.
 KEYWORDS: dict[str, tuple[str, ...]] = {
     "neuroscience": (

@@ -170,10 +170,11 @@ def chat_reply(text: Column) -> Column:
     for phrase in CHAT_PHRASES:
         out = T.strip(F.replace(out, F.lit(phrase), F.lit("")))
     for speaker in SPEAKERS:
-        out = F.when(out.startswith(speaker), T.strip(F.substring(out, len(speaker) + 1, 1 << 30))).otherwise(out)
-    first = lambda mark: F.get(F.filter(F.transform(F.split(out, mark), T.strip), lambda x: x != ""), F.lit(0))
-    out = F.coalesce(F.concat(first(r"\."), F.lit(".")), first("\n"), F.lit(""))
-    return F.when(out == "", NO_REPLY).when(T.n_words(out) < 3, SHORT_REPLY).otherwise(out)
+        # the text is stripped already; a condition on it would double the expression with each speaker
+        out = T.strip(F.regexp_replace(out, f"^{speaker}", ""))
+    first = lambda x, mark: F.get(F.filter(F.transform(F.split(x, mark), T.strip), lambda y: y != ""), F.lit(0))
+    head = T.once(out, lambda x: F.coalesce(F.concat(first(x, r"\."), F.lit(".")), first(x, "\n"), F.lit("")))
+    return T.once(head, lambda x: F.when(x == "", NO_REPLY).when(T.n_words(x) < 3, SHORT_REPLY).otherwise(x))
 
 
 def memory_line(ts: Column, kind: Column, text: Column) -> Column:
