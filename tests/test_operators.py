@@ -104,6 +104,29 @@ def test_default_domains_are_the_whole_table(spark):
         assert len(set(own)) == len(own) == (3 if domain == "general" else 5)
 
 
+def test_domains_count_as_texts_do(spark):
+    domains = {"x": ("aa", "b c", "aa"), "y": ("aba", "é"), "z": ("b c", "")}
+    rows = [(0, "AAAAA", None), (1, "ababa É", ""), (2, "b c b c", "é é"), (3, None, None), (4, "", "b c"), (5, "long aba " * 20_000, "x"), (5, "long aba " * 20_000, "x")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, file string").withColumn("domain_low", F.lit("stays"))
+    got = C.domain_scores(docs, filename=F.col("file"), domains=domains)
+    assert got.columns == [*docs.columns, "domain", "domain_score"]
+
+    def plain(text, name):
+        scores = {d: sum((text or "").lower().count(k) + 2 * (name or "").lower().count(k) for k in keys if k) for d, keys in domains.items()}
+        best = max(scores, key=scores.get)
+        return (best, scores[best]) if scores[best] else ("general", 0)
+
+    assert sorted((r["doc_id"], r["domain"], r["domain_score"]) for r in got.collect()) == sorted((d, *plain(x, n)) for d, x, n in rows)
+    assert C.domain_scores(docs.limit(0), domains=domains).count() == 0
+
+
+def test_chat_reply_takes_speakers_in_order(spark):
+    said = {"User: Human: a long enough reply. More": "a long enough reply.", "Human: User: a long reply": "User: a long reply.", "Bot:  Assistant: so it is then": "so it is then.", "": "I'm thinking about that...", None: "I'm thinking about that...", "User:": "I'm thinking about that...", "Ok.": "I'm processing that thought.", "see\nUser: at the end.": "see\nUser: at the end."}
+    df = spark.createDataFrame([(k, v) for k, v in said.items()], "said string, want string")
+    got = df.select("said", "want", R.chat_reply(F.col("said")).alias("got")).collect()
+    assert [(r["said"], r["got"]) for r in got if r["got"] != r["want"]] == []
+
+
 def test_list_content_takes_the_first_item_with_text(spark):
     lists = ['[{"type": "image"}, {"type": "text", "text": "see this"}]', '["plain", {"text": "later"}]']
     rows = [(k, f'[{{"messages": [{{"role": "user", "content": {x}}}]}}]') for k, x in enumerate(lists)]
