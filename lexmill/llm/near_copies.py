@@ -10,7 +10,9 @@ which costs a group what its documents do. Fingerprints of 64 bits reach a simil
 differ), so a second step compares what is still in different components: pairs that share a shingle of their prefix,
 the first n - ceil(t n) + 1 by rarity (by how many documents the shingle's bucket has, then by hash). Linked documents
 share one, so no link is missed, and groups come out as from all pairs. Pairs have to pass the length and positional filters
-and a comparison of parities, which bound their difference from below; then the whole sets decide.
+and a comparison of parities, which bound their difference from below; then the whole sets decide. A set's parity has two to
+four bits for each shingle, whatever its size, so few pairs that aren't links get as far as the sets. The prefix join takes its
+keys in PASSES parts and the sets are compared CHUNK pairs at a time: texts are never shuffled, and what is on disk at once stays small.
 
 Defined results: shingles are told apart by 56 bits of hash; texts without words have one set, and link with each other;
 exactly one row of a group stays, also under null ids and repeated rows; an empty table stays empty; other columns pass
@@ -19,6 +21,7 @@ through.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,9 +36,13 @@ from lexmill.llm.simhash import components, keys
 SHINGLE = 5
 _NUM, _DEN = 4, 5  # the threshold, Jaccard 0.8, as a fraction: filters in whole numbers
 BUCKETS = 1 << 18
-#: 64-bit words of a set's parity.
+#: 64-bit words of a set's parity, at least: a power of two.
 WORDS = 4
-#: Up to so many documents are broadcast to pick the texts that need verifying; more are joined by shuffle.
+#: The prefix join takes its keys in so many parts, one after the other.
+PASSES = 4
+#: Whole sets of so many pairs are compared at once; their documents, at most twice as many, are broadcast to pick the texts.
+CHUNK = 250_000
+#: Up to so many nodes are broadcast to a join; more are joined by shuffle.
 BROADCAST_DOCS = 500_000
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -61,6 +68,12 @@ def places(hashes: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     return np.unique(rank << 56 | (hashes >> np.uint64(8)).astype(np.int64))
 
 
+def parity(toks: np.ndarray) -> np.ndarray:
+    """The parity of the tokens that fall on each bit, in 64-bit words: the least power of two that gives two bits a token."""
+    bits = 64 * max(WORDS, 1 << ((len(toks) - 1) // 32).bit_length())
+    return np.packbits(np.bincount(toks & (bits - 1), minlength=bits).astype(np.uint8) & 1, bitorder="little").view("<i8")
+
+
 def _lists(rows: list[np.ndarray]) -> pa.Array:
     at = np.cumsum([0, *map(len, rows)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(rows) if rows else np.empty(0, dtype=np.int64)))
@@ -110,7 +123,7 @@ def sketches(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
                     n = len(toks)
                     sig.append(xxhash.xxh64_intdigest(toks.tobytes()))
                     size.append(n)
-                    wide.append(np.packbits(np.bincount(toks & (64 * WORDS - 1), minlength=64 * WORDS).astype(np.uint8) & 1, bitorder="little").view("<i8"))
+                    wide.append(parity(toks))
                     stars.append(star_keys(hashes))
                     prefix.append(toks[: n + (-n * _NUM // _DEN) + 1])
                 cols = [pa.array(np.asarray(sig, dtype=np.uint64).view(np.int64)), pa.array(size, pa.int32()), _lists(wide), _lists(stars), _lists(prefix)]
@@ -131,11 +144,9 @@ def sets(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, ranks: np.ndarr
 
     named = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct().join(distinct, "sig")
     named = materialise(named.select("sig", F.col("least.doc_id").alias("own_id"), F.col("least.copy_text").alias("own_text")), "copies-named")
-    few = named.count() <= BROADCAST_DOCS
-    texts = docs.select("doc_id", "copy_text", "text").join(F.broadcast(named) if few else named, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("copy_text") == F.col("own_text")))
-    one = texts.groupBy("sig").agg(F.first("text").alias("text")) if not few else texts
-    made = one.select("sig", F.col("text").cast("binary").alias("raw")).mapInArrow(run, "sig long, toks array<long>")
-    return materialise(made.dropDuplicates(["sig"]) if few else made, "copies-sets")
+    texts = docs.select("doc_id", "copy_text", "text").join(F.broadcast(named), F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("copy_text") == F.col("own_text")))
+    made = texts.select("sig", F.col("text").cast("binary").alias("raw")).mapInArrow(run, "sig long, toks array<long>")
+    return materialise(made.dropDuplicates(["sig"]), "copies-sets")
 
 
 def _need(na: Column, nb: Column) -> Column:
@@ -152,17 +163,33 @@ def _near() -> Column:
     return _sizes() & (follow >= _need(na, nb))
 
 
-def verify(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, ranks: np.ndarray) -> DataFrame:
-    """The pairs a, b whose sets have at least the threshold's similarity."""
+def _apart() -> Column:
+    """A lower bound of the distance of two sets, by their parities: sizes of sets that match are less than one doubling apart."""
+    both = F.least(F.size("wide_a"), F.size("wide_b"))
+    differ = lambda x, y: x.bitwiseXOR(y)
+    fold = lambda w: F.when(F.size(w) > both, F.zip_with(F.slice(w, F.lit(1), both), F.slice(w, both + 1, both), differ)).otherwise(F.col(w))
+    return F.aggregate(F.zip_with(fold("wide_a"), fold("wide_b"), differ), F.lit(0), lambda s, w: s + F.bit_count(w))
+
+
+def close(distinct: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Of pairs a, b of sizes that can match, those whose parities don't tell them apart."""
     side = lambda x: distinct.select(F.col("sig").alias(x), F.col("n").alias(f"n_{x}"), F.col("wide").alias(f"wide_{x}"))
-    apart = sum((F.bit_count(F.get("wide_a", F.lit(k)).bitwiseXOR(F.get("wide_b", F.lit(k)))) for k in range(WORDS)), F.lit(0))
     na, nb = F.col("n_a"), F.col("n_b")
-    close = pairs.join(side("a"), "a").join(side("b"), "b").where(apart <= na + nb - 2 * _need(na, nb))
-    close = materialise(close.select("a", "b"), "copies-close")
-    whole = sets(docs, distinct, close, ranks)
-    both = close.join(whole.select(F.col("sig").alias("a"), F.col("toks").alias("toks_a")), "a").join(whole.select(F.col("sig").alias("b"), F.col("toks").alias("toks_b")), "b")
-    both = both.select("a", "b", F.size("toks_a").alias("n_a"), F.size("toks_b").alias("n_b"), F.size(F.array_intersect("toks_a", "toks_b")).alias("shared"))
-    return materialise(both.where(F.col("shared") * _DEN >= (na + nb - F.col("shared")) * _NUM).select("a", "b"), "copies-links")
+    near = pairs.join(side("a"), "a").join(side("b"), "b").where(_apart() <= na + nb - 2 * _need(na, nb))
+    return materialise(near.select("a", "b"), "copies-close", keep=True)
+
+
+def verify(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, ranks: np.ndarray) -> DataFrame:
+    """Of the pairs a, b that are close, those whose sets have at least the threshold's similarity."""
+    na, nb, parts, chunks = F.col("n_a"), F.col("n_b"), [], -(-pairs.count() // CHUNK)
+    for k in range(max(1, chunks)):
+        with discarding(docs.sparkSession):
+            some = pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(chunks)) == k) if chunks > 1 else pairs
+            whole = sets(docs, distinct, some, ranks)
+            both = some.join(whole.select(F.col("sig").alias("a"), F.col("toks").alias("toks_a")), "a").join(whole.select(F.col("sig").alias("b"), F.col("toks").alias("toks_b")), "b")
+            both = both.select("a", "b", F.size("toks_a").alias("n_a"), F.size("toks_b").alias("n_b"), F.size(F.array_intersect("toks_a", "toks_b")).alias("shared"))
+            parts.append(materialise(both.where(F.col("shared") * _DEN >= (na + nb - F.col("shared")) * _NUM).select("a", "b"), "copies-links", keep=True))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def groups(docs: DataFrame, distinct: DataFrame, ranks: np.ndarray) -> DataFrame:
@@ -175,20 +202,27 @@ def groups(docs: DataFrame, distinct: DataFrame, ranks: np.ndarray) -> DataFrame
     one = one.select("key", F.col("s.sig").alias("sig_a"), F.col("s.n").alias("n_a"))
     met = keyed.select("key", F.col("sig").alias("sig_b"), F.col("n").alias("n_b")).join(one, "key").where("sig_a <> sig_b").where(_sizes())
     tried = materialise(met.select(*ends).distinct(), "copies-first")
-    first = verify(docs, distinct, tried, ranks)
+    first = verify(docs, distinct, close(distinct, tried), ranks)
     roots = materialise(components(first), "copies-roots")
     # the second: what is still apart
     few = roots.count() <= BROADCAST_DOCS
     rooted = distinct.join(F.broadcast(roots) if few else roots, distinct["sig"] == roots["node"], "left")
-    bits = F.get("wide", F.lit(0)).bitwiseXOR(F.get("wide", F.lit(1))).bitwiseXOR(F.get("wide", F.lit(2))).bitwiseXOR(F.get("wide", F.lit(3)))
-    open_ = rooted.select("sig", "n", F.coalesce("root", "sig").alias("root"), bits.alias("bits"), "prefix", F.posexplode("prefix").alias("at", "key"))
+    bits = F.aggregate("wide", F.lit(0).cast("long"), lambda s, w: s.bitwiseXOR(w))
+    rooted = materialise(rooted.select("sig", "n", F.coalesce("root", "sig").alias("root"), bits.alias("bits"), "prefix"), "copies-open")
+    open_ = rooted.select("*", F.posexplode("prefix").alias("at", "key"))
     open_ = open_.select("key", "sig", "n", "root", "bits", "at", F.when(F.col("at") > 0, F.get("prefix", F.col("at") - 1)).alias("before"))
-    sides = [open_.select("key", *(F.col(c).alias(f"{c}_{x}") for c in open_.columns if c != "key")) for x in "ab"]
-    pairs = sides[0].join(sides[1], "key").where("sig_a < sig_b and root_a <> root_b").where(_near())
-    pairs = pairs.where(F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= F.col("n_a") + F.col("n_b") - 2 * _need(F.col("n_a"), F.col("n_b")))
-    # where the shingles before are shared too, the pair has come by them
-    pairs = materialise(pairs.where(~F.coalesce(F.col("before_a") == F.col("before_b"), F.lit(False))).select(*ends).distinct(), "copies-second")
-    second = verify(docs, distinct, pairs.join(tried, ["a", "b"], "left_anti"), ranks)
+    parts = []
+    for k in range(PASSES):
+        own = open_.where(F.pmod("key", F.lit(PASSES)) == k)
+        sides = [own.select("key", *(F.col(c).alias(f"{c}_{x}") for c in own.columns if c != "key")) for x in "ab"]
+        pairs = sides[0].join(sides[1], "key").where("sig_a < sig_b and root_a <> root_b").where(_near())
+        pairs = pairs.where(F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= F.col("n_a") + F.col("n_b") - 2 * _need(F.col("n_a"), F.col("n_b")))
+        # where the shingles before are shared too, the pair has come by them
+        with discarding(docs.sparkSession):
+            met = materialise(pairs.where(~F.coalesce(F.col("before_a") == F.col("before_b"), F.lit(False))).select(*ends).distinct(), "copies-second")
+            parts.append(close(distinct, met))
+    pairs = functools.reduce(DataFrame.unionByName, parts).distinct().join(tried, ["a", "b"], "left_anti")
+    second = verify(docs, distinct, materialise(pairs, "copies-open-pairs"), ranks)
     return roots if second.isEmpty() else components(first.unionByName(second))
 
 

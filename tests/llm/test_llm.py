@@ -512,3 +512,28 @@ def test_near_copies_keep_one_row_of_each_group(spark):
     rows = [(5, x, "a"), (5, x, "b"), (5, y, "a"), (9, x, "a"), (None, x, "a"), (None, y, "a"), (None, z, "a"), (None, z, "a"), (None, z + " end", "a"), (None, "alone", "a")]
     out = near_copies.stage(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), SF).collect()
     assert sorted((r["doc_id"] or 0, r["text"][:2]) for r in out) == [(0, "al"), (0, "z0"), (5, "w0")]
+
+
+def test_long_texts_that_share_a_passage_are_told_apart_by_parities(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    passage = " ".join(f"p{k}" for k in range(12))
+    texts = [" ".join(f"w{v}" for v in rng.integers(20_000, size=900 + k)) for k in range(30)]
+    rows = [(k, f"{t} {passage}") for k, t in enumerate(texts)] + [(100 + k, texts[k] + " end") for k in range(5)]
+    compared, sets = [], near_copies.sets
+    monkeypatch.setattr(near_copies, "sets", lambda docs, distinct, pairs, ranks: compared.append(pairs.count()) or sets(docs, distinct, pairs, ranks))
+    monkeypatch.setattr(near_copies, "CHUNK", 2)
+    out = near_copies.stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert sorted(r["doc_id"] for r in out.collect()) == list(range(30))
+    assert 5 <= sum(compared) < 20  # 435 pairs share the passage
+
+
+def test_parities_bound_the_distance_of_sets(spark):
+    rng = np.random.default_rng(12)
+    rows = []
+    for n in (1, 30, 120, 128, 129, 500, 2048, 2049):
+        own = rng.integers(1 << 62, size=n)
+        for cut, new in ((0, 0), (n // 10, 0), (n // 12, n // 12), (0, n // 5)):
+            other = np.unique(np.concatenate((own[cut:], rng.integers(1 << 62, size=new)))) if cut + new else own
+            rows.append((near_copies.parity(own).tolist(), near_copies.parity(other).tolist(), len(set(own.tolist()) ^ set(other.tolist()))))
+    got = spark.createDataFrame(rows, "wide_a array<long>, wide_b array<long>, d long").select(near_copies._apart().alias("least"), "d").collect()
+    assert all(r["least"] <= r["d"] for r in got) and any(r["least"] >= 0.8 * r["d"] > 100 for r in got)
