@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
+import itertools
 import tempfile
 import uuid
 
@@ -63,22 +65,40 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 #: With this setting a write's shuffle files go when it ends, not when the driver next collects garbage.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: The driver keeps the text of each write's plan; long literals (line_dedup.rarity) make it megabytes.
+_PLAN_TEXT = "spark.sql.maxPlanStringLength"
+#: After so many writes the driver's garbage is collected: plans and broadcasts of many short queries would else fill its heap.
+TIDY = 10
+_writes = itertools.count(1)
+
+
+@contextlib.contextmanager
+def _settings(spark: SparkSession, **values: str):
+    """Settings for the statements inside; they are as before at the end."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def materialise(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write df to the shared folder and read it back: computed once, lineage cut, survives lost executors. With keep, the
     table outlives the scope that it is made in."""
     spark = df.sparkSession
-    path, before = scratch_path(spark, label), spark.conf.get(_CLEANUP, None)
+    path = scratch_path(spark, label)
     if keep and _scopes:
         _scopes[-1].remove(path)
         if len(_scopes) > 1:
             _scopes[-2].append(path)
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    with _settings(spark, **{_CLEANUP: "true", _PLAN_TEXT: "20000"}):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    if next(_writes) % TIDY == 0:
+        gc.collect()  # what Python has dropped holds plans in the JVM
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -65,13 +65,13 @@ def lines(docs: DataFrame, doc_id: str, text: str, by_row: bool) -> DataFrame:
 
 def rarity(found: DataFrame) -> Column:
     """array<tinyint>, as a literal: for each bucket of words 1 to 127, four to each doubling of the lines that have it. Its
-    size is fixed."""
+    size is fixed. The driver gets it as one string, not as a row for each bucket."""
     counts = found.select(F.explode("toks").alias("w")).groupBy(F.pmod("w", F.lit(BUCKETS)).cast("int").alias("b")).agg(F.count("*").alias("n"))
-    got = counts.select("b", F.least(F.lit(127), 1 + F.floor(4 * F.log2(1 + F.col("n")))).cast("int").alias("r")).toPandas()
-    ranks = [1] * BUCKETS
-    for b, r in zip(got["b"].tolist(), got["r"].tolist(), strict=True):
-        ranks[b] = r
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<tinyint>")
+    ranks = counts.select("b", F.least(F.lit(127), 1 + F.floor(4 * F.log2(1 + F.col("n")))).cast("int").alias("r"))
+    every = found.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b"), F.lit(1).alias("r"))
+    ranks = ranks.unionByName(every).groupBy("b").agg(F.max("r").alias("r"))
+    one = ranks.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "r"))), lambda x: x["r"].cast("string")), ",").alias("ranks"))
+    return F.split(F.lit(one.first()["ranks"]), ",").cast("array<tinyint>")
 
 
 def _ordered(toks: Column, ranks: Column) -> Column:

@@ -1,6 +1,7 @@
 """The training-data operators against SQL, brute force and exact round trips, and on edge rows."""
 
 import hashlib
+import math
 import re
 import zlib
 
@@ -537,3 +538,27 @@ def test_parities_bound_the_distance_of_sets(spark):
             rows.append((near_copies.parity(own).tolist(), near_copies.parity(other).tolist(), len(set(own.tolist()) ^ set(other.tolist()))))
     got = spark.createDataFrame(rows, "wide_a array<long>, wide_b array<long>, d long").select(near_copies._apart().alias("least"), "d").collect()
     assert all(r["least"] <= r["d"] for r in got) and any(r["least"] >= 0.8 * r["d"] > 100 for r in got)
+
+
+def test_ranks_come_to_the_driver_as_one_row(spark, monkeypatch):
+    from collections import Counter
+
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
+    found = line_dedup.lines(docs, "doc_id", "text", False)
+    seen = Counter(w % line_dedup.BUCKETS for r in found.collect() for w in r["toks"])
+    monkeypatch.setattr(DataFrame, "toPandas", lambda _: pytest.fail("rows of all buckets in the driver"))
+    ranks = spark.range(1).select(line_dedup.rarity(found).alias("r")).first()["r"]
+    assert len(ranks) == line_dedup.BUCKETS and len(seen) > 500
+    assert all(r == (min(127, 1 + math.floor(4 * math.log2(1 + seen[b]))) if b in seen else 1) for b, r in enumerate(ranks))
+
+
+def test_settings_of_a_write_end_with_it(spark):
+    from lexmill.llm import common
+
+    names = (common._CLEANUP, common._PLAN_TEXT)
+    before, writes = [spark.conf.get(x) for x in names], []
+    for k in range(common.TIDY + 1):
+        writes.append(common.materialise(spark.range(3), f"tidy-{k}").count())
+    assert writes == [3] * (common.TIDY + 1) and [spark.conf.get(x) for x in names] == before
