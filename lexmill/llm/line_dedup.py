@@ -12,8 +12,9 @@ the distance d (tokens in one set only). For x and y of one home the triangle in
 and similarity of at least 4/5 is distance <= (n_x + n_y) / 9: so where 9 d - n of both add up to 0 or less, they match
 without a look at their sets, and such pairs are counted from a histogram of each home. Second, the prefix join with
 length and positional filters, for what the stars leave open: pairs of two homes, or of one home and a greater sum;
-or, if matches need not be counted, later lines that no star has removed. The join compares parities of the sets (64 bits,
-and 256 for sets of over LONG tokens, which fill 64), which bound their distance from below; then the whole sets decide.
+or, if matches need not be counted, later lines that no star has removed. A set meets others in bands of sizes, and the
+smaller of two by the first n / 9 + 1 tokens only. The join compares parities of the sets (64 bits; 128 and 256 for sets of
+over LONG and HUGE tokens, which fill 64 and 128), which bound their distance from below; then the whole sets decide.
 
 A line goes if a line of an equal or matching set stands earlier in (doc_id, line number) order. Words are told apart by
 64-bit hashes, sets by a 64-bit hash of those.
@@ -28,55 +29,69 @@ found in it; of rows that share both, one is read and the others lose all their
 from __future__ import annotations
 
 import functools
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import ASCII_SPACE, discarding, free, materialise, single, table, words
+from lexmill.llm.common import ASCII_SPACE, discarding, free, materialise, single, table
 
 THRESHOLD = 0.8
 BUCKETS = 1 << 18
 _NUM, _DEN = 4, 5  # THRESHOLD as a fraction: filters in whole numbers
-#: 64-bit words of the parities of sets of over LONG tokens; a power of two.
-WORDS = 4
-LONG = 64
-WIDE = [f"w{k}" for k in range(1, WORDS)]
+#: Parities have one word of 64 bits, two for sets of over LONG tokens, four for sets of over HUGE.
+LONG, HUGE = 64, 192
+WIDE = ["w1", "w2", "w3"]
 #: Sets of fewer tokens match equal sets only.
 SHORT = 4
-#: The prefix join takes its keys in so many parts, one after the other: only a part of its rows is on disk at once.
+#: The prefix join takes its keys in so many parts (a power of two), one after the other: only a part of its rows is on disk at once.
 PASSES = 4
+#: Bands of sizes are so wide (as a logarithm): two steps of the greatest ratio of matching sizes.
+BAND = -2 * math.log(THRESHOLD)
 #: Up to so many nodes (24 MB) are broadcast to a join; more are joined by shuffle.
 BROADCAST_NODES = 1_000_000
 
 
-def tokens(line: Column) -> Column:
-    """array<long>: hashes of the line's distinct words in lower case."""
-    return F.array_distinct(F.transform(words(F.lower(line)), lambda w: F.xxhash64(w)))
+def tokens(line: Column, odd: Column) -> Column:
+    """array<long>: hashes of the line's distinct words in lower case. odd: it may have white space other than blanks."""
+    low = even = F.lower(line)
+    for c in ASCII_SPACE[1:]:
+        even = F.replace(even, F.lit(c), F.lit(" "))
+    parts = F.split(F.when(odd, even).otherwise(low), " ")
+    return F.array_remove(F.array_distinct(F.transform(parts, lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
 def lines(docs: DataFrame, doc_id: str, text: str, by_row: bool) -> DataFrame:
     """doc (the id), text_key (the text's hash; 0 without by_row), line (from 0), sig, n, toks for the lines with a word."""
-    key = F.xxhash64(text) if by_row else F.lit(0).cast("long")
-    out = docs.select(F.col(doc_id).alias("doc"), key.alias("text_key"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line", "said"))
+    said, key = F.coalesce(F.col(text), F.lit("")), F.xxhash64(text) if by_row else F.lit(0).cast("long")
+    odd = functools.reduce(Column.__or__, (F.contains(said, F.lit(c)) for c in ASCII_SPACE[1:] if c != "\n"))
+    # in a projection of their own, once a text: beside the explode they would be made for each line
+    out = docs.select(F.col(doc_id).alias("doc"), key.alias("text_key"), odd.alias("odd"), F.split(said, "\n").alias("all"))
+    out = out.select("doc", "text_key", "odd", F.posexplode("all").alias("line", "said"))
     # told by the line itself: a condition on the tokens would be pushed below them, and make them twice
-    out = out.where(F.btrim("said", F.lit(ASCII_SPACE)) != "").select("doc", "text_key", "line", tokens(F.col("said")).alias("toks"))
+    out = out.where(F.btrim("said", F.lit(ASCII_SPACE)) != "").select("doc", "text_key", "line", tokens(F.col("said"), F.col("odd")).alias("toks"))
     return out.select("doc", "text_key", "line", F.xxhash64(F.sort_array("toks")).alias("sig"), F.size("toks").alias("n"), "toks")
 
 
 def rarity(found: DataFrame) -> Column:
     """array<tinyint>, as a literal: for each bucket of words 1 to 127, four to each doubling of the lines that have it. Its
     size is fixed. The driver gets it as one string, not as a row for each bucket."""
-    counts = found.select(F.explode("toks").alias("w")).groupBy(F.pmod("w", F.lit(BUCKETS)).cast("int").alias("b")).agg(F.count("*").alias("n"))
-    ranks = counts.select("b", F.least(F.lit(127), 1 + F.floor(4 * F.log2(1 + F.col("n")))).cast("int").alias("r"))
-    every = found.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b"), F.lit(1).alias("r"))
-    ranks = ranks.unionByName(every).groupBy("b").agg(F.max("r").alias("r"))
+    spark = found.sparkSession
+    # a task has up to BUCKETS rows whatever it reads: few tasks for each core
+    few = found.select("toks").coalesce(2 * spark.sparkContext.defaultParallelism)
+    buckets = few.select(F.explode("toks").alias("w")).select(F.col("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b"))
+    every = spark.range(0, BUCKETS, 1, 1).select(F.col("id").cast("int").alias("b"))
+    counts = buckets.unionByName(every).groupBy("b").agg((F.count("*") - 1).alias("n"))
+    ranks = counts.select("b", F.when(F.col("n") == 0, 1).otherwise(F.least(F.lit(127), 1 + F.floor(4 * F.log2(1 + F.col("n"))))).cast("int").alias("r"))
     one = ranks.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "r"))), lambda x: x["r"].cast("string")), ",").alias("ranks"))
     return F.split(F.lit(one.first()["ranks"]), ",").cast("array<tinyint>")
 
 
 def _ordered(toks: Column, ranks: Column) -> Column:
     """Rank and hash in one number, ascending from the rarest."""
-    return F.sort_array(F.transform(toks, lambda h: F.shiftleft(F.get(ranks, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))
+    rank = lambda h: F.coalesce(F.get(ranks, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), F.lit(0).cast("tinyint")).cast("long")
+    # never null, which sorts as plain numbers
+    return F.sort_array(F.transform(toks, lambda h: F.shiftleft(rank(h), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))
 
 
 def _prefix(n: Column) -> Column:
@@ -93,22 +108,29 @@ def _bits(toks: Column) -> Column:
 
 
 def _wide(toks: Column, n: Column) -> list[Column]:
-    """_bits in WORDS words, of which the first follows from _bits and the others; 0 for sets that don't need them."""
+    """The tokens' further bits: of two words the second, of four all but the first (which follows from _bits and these); 0 for
+    sets that don't need them. Two of the four words, w1 and w3, add up to the second of two."""
 
-    def word(k: int) -> Column:
-        return _bits(F.filter(toks, lambda t: F.shiftrightunsigned(t, 6).bitwiseAND(F.lit(WORDS - 1)) == k))
+    def word(mask: int, k: int) -> Column:
+        return _bits(F.filter(toks, lambda t: t.bitwiseAND(F.lit(mask << 6)) == k << 6))
 
-    return [F.when(n > LONG, word(k)).otherwise(F.lit(0).cast("long")) for k in range(1, WORDS)]
+    none = F.lit(0).cast("long")
+    return [F.when(n > HUGE, word(3, 1)).when(n > LONG, word(1, 1)).otherwise(none), *(F.when(n > HUGE, word(3, k)).otherwise(none) for k in (2, 3))]
 
 
 def _apart(x: str, y: str) -> Column:
     """A lower bound of the distance of two sets, by their parities."""
-    differ = [F.col(f"{c}{x}").bitwiseXOR(F.col(f"{c}{y}")) for c in ("bits", *WIDE)]
-    first = differ[0]
-    for w in differ[1:]:
-        first = first.bitwiseXOR(w)
-    whole = sum((F.bit_count(w) for w in differ[1:]), F.bit_count(first))
-    return F.when((F.col(f"n{x}") > LONG) & (F.col(f"n{y}") > LONG), whole).otherwise(F.bit_count(differ[0]))
+    whole, w1, w2, w3 = (F.col(f"{c}{x}").bitwiseXOR(F.col(f"{c}{y}")) for c in ("bits", *WIDE))
+    odd = w1.bitwiseXOR(w3)
+    two = F.bit_count(odd) + F.bit_count(whole.bitwiseXOR(odd))
+    four = F.bit_count(w1) + F.bit_count(w2) + F.bit_count(w3) + F.bit_count(whole.bitwiseXOR(odd).bitwiseXOR(w2))
+    over = lambda size: (F.col(f"n{x}") > size) & (F.col(f"n{y}") > size)
+    return F.when(over(HUGE), four).when(over(LONG), two).otherwise(F.bit_count(whole))
+
+
+def _within(d: Column, na: Column, nb: Column) -> Column:
+    """d <= _limit(na, nb), in whole numbers."""
+    return d * (_NUM + _DEN) <= (na + nb) * (_DEN - _NUM)
 
 
 def _limit(na: Column, nb: Column) -> Column:
@@ -136,15 +158,17 @@ def nodes(found: DataFrame, ranks: Column) -> DataFrame:
 
 
 def verify(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """Of pairs a, b (distinct sets), those that match: a, b, n_b, d (the tokens that only one has)."""
+    """Of pairs of distinct sets, those that match: a, b (a the earlier), n_b, d (the tokens that only one has)."""
     named = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
-    one = found.select("sig", "n", "toks").join(_held(materialise(named, "line-named")), "sig", "left_semi")
-    one = one.groupBy("sig").agg(F.first("n").alias("n"), F.first("toks").alias("toks"))
+    one = found.select("sig", "n", "toks", _place().alias("place")).join(_held(materialise(named, "line-named")), "sig", "left_semi")
+    one = one.groupBy("sig").agg(F.first("n").alias("n"), F.first("toks").alias("toks"), F.min("place").alias("place"))
     sets = materialise(one, "line-sets")
-    side = lambda x: sets.select(F.col("sig").alias(x), F.col("n").alias(f"n_{x}"), F.col("toks").alias(f"toks_{x}"))
+    side = lambda x: sets.select(F.col("sig").alias(x), F.col("n").alias(f"n_{x}"), F.col("toks").alias(f"toks_{x}"), F.col("place").alias(f"place_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     far = F.col("n_a") + F.col("n_b") - 2 * F.size(F.array_intersect("toks_a", "toks_b"))
-    return both.select("a", "b", "n_a", "n_b", far.alias("d")).where(F.col("d") <= _limit(F.col("n_a"), F.col("n_b"))).select("a", "b", "n_b", "d")
+    told = both.select("a", "b", "n_a", "n_b", (F.col("place_a") < F.col("place_b")).alias("ahead"), far.alias("d")).where(_within(F.col("d"), F.col("n_a"), F.col("n_b")))
+    pick = lambda x, y: F.when(F.col("ahead"), F.col(x)).otherwise(F.col(y))
+    return told.select(pick("a", "b").alias("a"), pick("b", "a").alias("b"), pick("n_b", "n_a").alias("n_b"), "d")
 
 
 def stars(own: DataFrame, found: DataFrame) -> DataFrame:
@@ -177,20 +201,31 @@ def sure(members: DataFrame) -> DataFrame:
 
 
 def candidates(own: DataFrame, count: bool) -> DataFrame:
-    """a, b (a the earlier): nodes that share a prefix token, pass the filters, and aren't settled by the stars."""
-    rows = own.where(F.col("n") >= SHORT).select("sig", "doc", "text_key", "line", "n", "bits", *WIDE, *(("home", "g") if count else ("late",)), "prefix", F.posexplode("prefix").alias("at", "key"))
+    """a, b: nodes that share a prefix token, pass the filters, and aren't settled by the stars.
+
+    a is the smaller set (of equal sizes, the one of the lesser sig). As at least 8/9 of the smaller set are shared, its
+    first n / 9 + 1 tokens are enough to meet the first n / 5 + 1 of the greater. Both meet in the greater set's band of sizes,
+    which is the smaller one's own or the next."""
+    kept = ("home", "g") if count else ("late", "doc", "text_key", "line")
+    band = lambda n: F.floor(F.log(n.cast("double")) / F.lit(BAND)).cast("int")
+    rows = own.where(F.col("n") >= SHORT).select("sig", "n", "bits", *WIDE, *kept, "prefix", F.posexplode("prefix").alias("at", "key"))
     rows = rows.withColumn("before", F.when(F.col("at") > 0, F.get("prefix", F.col("at") - 1))).drop("prefix")
-    part = lambda k: rows.where(F.pmod("key", F.lit(PASSES)) == k)
-    side = lambda rows, x: rows.select("key", *(F.col(c).alias(f"{c}_{x}") for c in rows.columns if c != "key"))
+    n = F.col("n")
+    lesser = rows.where(F.col("at") * (_NUM + _DEN) <= n * (_DEN - _NUM)).withColumn("band", F.explode(F.sequence(band(n), band(F.floor(n * _DEN / F.lit(_NUM))))))
+    greater = rows.withColumn("band", band(n))
+    part = lambda rows, k: rows.where(F.col("key").bitwiseAND(F.lit(PASSES - 1)) == k)
+    side = lambda rows, x: rows.select("key", "band", *(F.col(c).alias(f"{c}_{x}") for c in rows.columns if c not in ("key", "band")))
     na, nb, ia, ib = (F.col(c) for c in ("n_a", "n_b", "at_a", "at_b"))
-    limit = _limit(na, nb)
-    open_ = (F.col("home_a") != F.col("home_b")) | (F.col("g_a") + F.col("g_b") > 0) if count else ~F.col("late_b")
+    near = ((na < nb) | ((na == nb) & (F.col("sig_a") < F.col("sig_b")))) & _within(nb - na, na, nb)
     # at most `limit` tokens are in one set only: of those before the shared token, the places differ by no more
-    near = open_ & (F.abs(na - nb) <= limit) & (_apart("_a", "_b") <= limit)
-    near = near & (F.abs(ia - ib) + F.abs((na - ia) - (nb - ib)) <= limit)
+    near = near & _within(F.abs(ia - ib) + F.abs((na - ia) - (nb - ib)), na, nb) & _within(_apart("_a", "_b"), na, nb)
     # where the tokens before are shared too, the pair has come by them
-    near = near & ~F.coalesce(F.col("before_a") == F.col("before_b"), F.lit(False)) & (_place("_a") < _place("_b"))
-    met = lambda k: side(part(k), "a").join(side(part(k), "b"), "key").where(near).select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b"))
+    near = near & ~F.coalesce(F.col("before_a") == F.col("before_b"), F.lit(False))
+    if count:
+        near = near & ~F.coalesce((F.col("home_a") == F.col("home_b")) & (F.col("g_a") + F.col("g_b") <= 0), F.lit(False))
+    else:
+        near = near & ~F.when(_place("_a") < _place("_b"), F.col("late_b")).otherwise(F.col("late_a"))
+    met = lambda k: side(part(lesser, k), "a").join(side(part(greater, k), "b"), ["key", "band"]).where(near).select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b"))
     parts = [materialise(met(k).distinct(), "line-part") for k in range(PASSES)]
     return functools.reduce(DataFrame.unionByName, parts).distinct()
 
@@ -204,7 +239,7 @@ def classes(found: DataFrame, count: bool) -> DataFrame:
         away = materialise(homes(near), "line-homes")
         centres = away.select(F.col("home").alias("sig")).distinct().join(away, "sig", "left_anti").join(own.select("sig", "n"), "sig")
         members = materialise(away.unionByName(centres.select("sig", F.col("sig").alias("home"), (-F.col("n")).alias("g"))), "line-members")
-        marked = own.join(_held(members), "sig", "left").withColumns({"home": F.coalesce("home", "sig"), "g": F.coalesce("g", -F.col("n"))})
+        marked = own.join(_held(members), "sig", "left")
     else:
         late = materialise(near.select(F.col("b").alias("sig"), F.lit(True).alias("late")).distinct(), "line-late")
         marked = own.join(_held(late), "sig", "left").withColumn("late", F.coalesce("late", F.lit(False)))

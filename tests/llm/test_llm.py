@@ -562,3 +562,23 @@ def test_settings_of_a_write_end_with_it(spark):
     for k in range(common.TIDY + 1):
         writes.append(common.materialise(spark.range(3), f"tidy-{k}").count())
     assert writes == [3] * (common.TIDY + 1) and [spark.conf.get(x) for x in names] == before
+
+
+def test_lines_meet_in_bands_of_sizes(spark):
+    # nested sets match by their sizes alone; the last two only share three words with them
+    sizes = [*range(4, 60), 64, 65, 80, 81, 100, 125, 154, 191, 192, 193, 240, 241, 301, 376]
+    rows = [(n, " ".join(f"w{k}" for k in range(n))) for n in sizes] + [(1000 + n, " ".join([f"w{k}" for k in range(3)] + [f"x{n}_{k}" for k in range(n)])) for n in (50, 100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {d: set(t.split()) for d, t in rows}
+    links = {d: [e for e in sets if e != d and 5 * len(s & sets[e]) >= 4 * len(s | sets[e])] for d, s in sets.items()}
+    got = {r["doc_id"]: (r["n_links"], r["removed"]) for r in line_dedup.judge_lines(docs).collect()}
+    assert got == {d: (len(x), any(e < d for e in x)) for d, x in links.items()} and len(links[192]) == 4
+
+
+def test_lines_of_far_sizes_do_not_meet(spark, monkeypatch):
+    docs = spark.createDataFrame([(n, " ".join(f"w{k}" for k in range(n))) for n in (5, 6, 40)], "doc_id long, text string")
+    found, plans = line_dedup.lines(docs, "doc_id", "text", False), []
+    keep = line_dedup.materialise
+    monkeypatch.setattr(line_dedup, "materialise", lambda df, label, keep_=False: (label == "line-part" and plans.append(df._jdf.queryExecution().optimizedPlan().toString())) or keep(df, label, keep_))
+    line_dedup.classes(found, True).collect()
+    assert plans and all(re.search(r"Join Inner, .*band", p) for p in plans)
